@@ -19,7 +19,7 @@ from tradewind.operators.joins import fan_out_join, lookup_join
 from tradewind.operators.ordering import first_rows, in_report_order
 from tradewind.plans import marts, star
 from tradewind.plans.master import master
-from tradewind.plans.warehouse import transform
+from tradewind.plans.warehouse import builders, transform
 from tradewind.quality import check_keys
 from tradewind.schemas import ORDINAL, RAW_TABLES, RawTable
 from tradewind.session import configure, scratch_dir
@@ -78,6 +78,10 @@ def _warehouse(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return transform(given_inputs(spark, sf_dir))
 
 
+def _mart(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return builders(given_inputs(spark, sf_dir))[name]()
+
+
 def _doubles(df: DataFrame) -> DataFrame:
     """Money as double, as results are delivered; without the row ordinal."""
     money = {f.name: F.col(f.name).cast("double") for f in df.schema
@@ -445,7 +449,7 @@ def c4_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def t1_daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _warehouse(spark, sf_dir)["daily_revenue"]
+    return _mart(spark, sf_dir, "daily_revenue")
 
 
 @query
@@ -455,7 +459,7 @@ def t1_daily_revenue_from_master(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def t2_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _warehouse(spark, sf_dir)["top_products"]
+    return _mart(spark, sf_dir, "top_products")
 
 
 @query
@@ -465,7 +469,7 @@ def t2_top_products_from_master(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def t3_customer_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _warehouse(spark, sf_dir)["customer_summary"]
+    return _mart(spark, sf_dir, "customer_summary")
 
 
 @query

@@ -18,11 +18,10 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.operators.clean import clean_orders
+from tradewind.operators.clean import clean_orders, with_revenue
 from tradewind.plans import marts, rollups, star
 from tradewind.plans.master import master
 from tradewind.plans.warehouse import measure_keys
-from tradewind.functions.numbers import line_revenue
 from tradewind.quality import check_keys
 from tradewind.session import configure, drop_scratch, scratch_dir
 from tradewind.sinks.publish import in_parallel, mark_published, run_zone, write_tables
@@ -127,7 +126,7 @@ def build(
 
     if keys.all_hold:
         fact = zone.table("fact_order_items").filter(F.col("order_status").isNotNull())
-        delivered = conform(fact).withColumn("revenue", line_revenue())
+        delivered = with_revenue(conform(fact))
         second = {
             "daily_revenue": rollups.daily_revenue(staged),
             "top_products": marts.top_products(delivered),

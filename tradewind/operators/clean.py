@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,5 +57,9 @@ def with_delivery_days(orders: DataFrame) -> DataFrame:
 
 
 def keyed(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows whose keys are all present; grouped results hold no null keys."""
-    return df.dropna(how="any", subset=list(keys))
+    """Rows whose keys are all present; grouped results hold no null keys.
+
+    Plain ``IS NOT NULL`` conditions reach the parquet scan and turn outer joins
+    below into inner ones, which ``dropna`` does not.
+    """
+    return df.filter(reduce(and_, (F.col(key).isNotNull() for key in keys)))

@@ -2,9 +2,9 @@
 
 No broadcast hints on data that grows: Catalyst and AQE broadcast a side when its
 measured size is below ``spark.sql.autoBroadcastJoinThreshold``, and sort-merge
-beyond. A hot key on the *left* of a left join is split by AQE at run time. A hot
-key on the *right* cannot be (the left row would be emitted unmatched by every
-split), which is what :func:`fan_out_join` is for.
+beyond. A hot key on the *left* of a left join, null included, is split by AQE at
+run time. A hot key on the *right* cannot be, because every split would have to know
+whether another one matched; :func:`fan_out_join` is for that case.
 """
 
 from __future__ import annotations
@@ -20,37 +20,37 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return left.join(right, key, "left")
 
 
-def split_matches(
-    left: DataFrame, right: DataFrame, key: str, rows_per_task: int = HOT_KEY_ROWS
-) -> tuple[DataFrame, DataFrame]:
-    """Left rows paired with their matches, and left rows without a match.
+def hot_keys(df: DataFrame, key: str, rows_per_task: int) -> DataFrame:
+    """Keys with more than ``rows_per_task`` rows and the number of salts to spread them over.
 
-    Keys with more than ``rows_per_task`` rows on the right are spread over several
-    salts, with the left rows copied once per salt. There are at most
-    ``rows / rows_per_task`` such keys, so the table of them is safe to broadcast.
+    There are fewer than ``rows / rows_per_task`` of them, however the data grows.
     """
-    sizes = right.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    sizes = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     salts = F.ceil(F.col("_rows") / F.lit(rows_per_task)).cast("int")
-    sized = left.join(sizes, key, "left")
-
-    hot = sizes.filter(F.col("_rows") > rows_per_task).select(key, salts.alias("_salts"))
-    salt = F.pmod(F.monotonically_increasing_id(), F.coalesce("_salts", F.lit(1)).cast("bigint"))
-    salted_right = (
-        right.join(F.broadcast(hot), key, "left").withColumn("_salt", salt.cast("int")).drop("_salts")
-    )
-    salted_left = (
-        sized.filter(F.col("_rows").isNotNull())
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
-        .drop("_rows")
-    )
-    matched = salted_left.join(salted_right, [key, "_salt"]).drop("_salt")
-    unmatched = sized.filter(F.col("_rows").isNull()).drop("_rows")
-    return matched, unmatched
+    return sizes.filter(F.col("_rows") > rows_per_task).select(key, salts.alias("_salts"))
 
 
 def fan_out_join(
     left: DataFrame, right: DataFrame, key: str, rows_per_task: int = HOT_KEY_ROWS
 ) -> DataFrame:
-    """Left outer join for a 1:N fan-out where one key may hold most of the right side."""
-    matched, unmatched = split_matches(left, right, key, rows_per_task)
-    return matched.unionByName(unmatched, allowMissingColumns=True)
+    """Left outer join for a 1:N fan-out where one key may hold most of the right side.
+
+    The right rows of a hot key are dealt out over several salts and its left rows
+    are copied once per salt. A copy whose salt got no right row is dropped again:
+    a hot key has matches, so its left rows are never unmatched. All other keys have
+    the one salt 0 and behave as in a plain left join.
+    """
+    hot = F.broadcast(hot_keys(right, key, rows_per_task))
+    salts = F.coalesce("_salts", F.lit(1))
+    copied_left = left.join(hot, key, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), salts - 1))
+    )
+    dealt_right = (
+        right.join(hot, key, "left")
+        .withColumn("_salt", F.pmod(F.monotonically_increasing_id(), salts.cast("bigint")).cast("int"))
+        .withColumn("_matched", F.lit(True))
+        .drop("_salts")
+    )
+    joined = copied_left.join(dealt_right, [key, "_salt"], "left")
+    whole = joined.filter(F.col("_matched").isNotNull() | F.col("_salts").isNull())
+    return whole.drop("_salt", "_salts", "_matched")

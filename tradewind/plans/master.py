@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tradewind.functions.numbers import line_revenue
 from tradewind.operators.aggregates import payments_per_order
-from tradewind.operators.joins import HOT_KEY_ROWS, lookup_join, split_matches
+from tradewind.operators.clean import with_revenue
+from tradewind.operators.joins import HOT_KEY_ROWS, fan_out_join, lookup_join
 from tradewind.schemas import ORDINAL
 
 
@@ -22,14 +22,10 @@ def master(
 
     Payments are joined while rows are still orders, so the item rows cross the
     network once for ``order_id`` and once for ``product_id``. The payment total of
-    an order repeats on each of its items. Orders without items skip the product
-    join: their product is null and would all meet in one partition there.
+    an order repeats on each of its items.
     """
-    per_order = lookup_join(orders, customers.drop(ORDINAL), "customer_id")
-    per_order = lookup_join(per_order, payments_per_order(payments), "order_id")
-    with_items, without_items = split_matches(
-        per_order, items.drop(ORDINAL), "order_id", rows_per_task
-    )
-    with_items = lookup_join(with_items, products.drop(ORDINAL), "product_id")
-    lines = with_items.unionByName(without_items, allowMissingColumns=True)
-    return lines.withColumn("revenue", line_revenue())
+    per_order = lookup_join(orders, payments_per_order(payments), "order_id")
+    per_order = lookup_join(per_order, customers.drop(ORDINAL), "customer_id")
+    lines = fan_out_join(per_order, items.drop(ORDINAL), "order_id", rows_per_task)
+    lines = lookup_join(lines, products.drop(ORDINAL), "product_id")
+    return with_revenue(lines)

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.functions.numbers import line_revenue
 from tradewind.operators.aggregates import keep_first, row_order, timestamp_bounds
 from tradewind.operators.calendar import calendar, date_spine
+from tradewind.operators.clean import with_revenue
 from tradewind.operators.joins import lookup_join
 from tradewind.schemas import ORDINAL, WAREHOUSE_COLUMNS
 
@@ -22,8 +22,7 @@ def item_lines(items: DataFrame, orders: DataFrame, products: DataFrame) -> Data
     header = orders.select("order_id", "customer_id", "order_date", "order_status")
     lines = lookup_join(items, header, "order_id")
     lines = lookup_join(lines, products.select("product_id", "category_english"), "product_id")
-    lines = lines.withColumn("revenue", line_revenue())
-    return lines.select(*WAREHOUSE_COLUMNS["fact_order_items"])
+    return with_revenue(lines).select(*WAREHOUSE_COLUMNS["fact_order_items"])
 
 
 def fact_order_items(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:

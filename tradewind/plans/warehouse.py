@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -38,8 +39,10 @@ def measure_keys(orders: DataFrame, customers: DataFrame, products: DataFrame) -
     return UniqueKeys(**{name: most[name] <= 1 for name in tables})
 
 
-def transform(data: dict[str, DataFrame], keys: UniqueKeys | None = None) -> dict[str, DataFrame]:
-    """The eight warehouse tables from the five extracted inputs.
+def builders(
+    data: dict[str, DataFrame], keys: UniqueKeys | None = None
+) -> dict[str, Callable[[], DataFrame]]:
+    """How to build each of the eight warehouse tables from the five extracted inputs.
 
     With unique keys the marts come from order totals, otherwise from the master
     table; the results are the same. ``keys=None`` measures the keys first.
@@ -50,24 +53,33 @@ def transform(data: dict[str, DataFrame], keys: UniqueKeys | None = None) -> dic
     if keys is None:
         keys = measure_keys(orders, customers, products)
 
+    def totals() -> DataFrame:
+        return rollups.order_totals(orders, items, payments)
+
+    def wide() -> DataFrame:
+        return master(orders, customers, items, products, payments)
+
     if keys.all_hold:
-        totals = rollups.order_totals(orders, items, payments)
         tables = {
-            "daily_revenue": rollups.daily_revenue(totals),
-            "top_products": rollups.top_products(orders, items, products),
-            "customer_summary": rollups.customer_summary(totals, customers),
+            "daily_revenue": lambda: rollups.daily_revenue(totals()),
+            "top_products": lambda: rollups.top_products(orders, items, products),
+            "customer_summary": lambda: rollups.customer_summary(totals(), customers),
         }
     else:
-        wide = master(orders, customers, items, products, payments)
         tables = {
-            "daily_revenue": marts.daily_revenue(wide),
-            "top_products": marts.top_products(wide),
-            "customer_summary": marts.customer_summary(wide),
+            "daily_revenue": lambda: marts.daily_revenue(wide()),
+            "top_products": lambda: marts.top_products(wide()),
+            "customer_summary": lambda: marts.customer_summary(wide()),
         }
     return tables | {
-        "delivery_performance": marts.delivery_performance(orders, customers),
-        "fact_order_items": star.fact_order_items(items, orders, products),
-        "dim_customers": star.dim_customers(customers),
-        "dim_products": star.dim_products(products),
-        "dim_date": star.dim_date(orders),
+        "delivery_performance": lambda: marts.delivery_performance(orders, customers),
+        "fact_order_items": lambda: star.fact_order_items(items, orders, products),
+        "dim_customers": lambda: star.dim_customers(customers),
+        "dim_products": lambda: star.dim_products(products),
+        "dim_date": lambda: star.dim_date(orders),
     }
+
+
+def transform(data: dict[str, DataFrame], keys: UniqueKeys | None = None) -> dict[str, DataFrame]:
+    """The eight warehouse tables from the five extracted inputs, lazily."""
+    return {name: build() for name, build in builders(data, keys).items()}

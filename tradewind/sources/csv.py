@@ -56,10 +56,10 @@ def read_csv(
     ``infer_undeclared`` as the type that one extra pass over them finds. Quoted
     line breaks need ``multi_line``, which reads each file in a single task.
     """
-    reader = (
-        spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
-    )
-    text = reader.csv(path)
+    # With enforceSchema off, files whose headers disagree are an error, not misread.
+    text = spark.read.options(
+        header=True, escape='"', multiLine=multi_line, enforceSchema=False
+    ).csv(path)
     declared = {field.name: field.dataType for field in table.schema}
     missing = [name for name in declared if name not in text.columns]
     if missing:

@@ -1,0 +1,163 @@
+"""Publishing, full refresh, failure handling, reports and connector options."""
+
+import pytest
+from conftest import TESTDATA, derived_ctes, oracle_rows, rows_of
+from pyspark.sql import functions as F
+from small import SCHEMAS, SmallSource, make_rows, small_inputs
+
+from tradewind import job
+from tradewind.catalogue.fixtures import GivenTables
+from tradewind.job import Config, main, run
+from tradewind.schemas import WAREHOUSE_COLUMNS
+from tradewind.session import drop_scratch, path_exists, scratch_dir, shuffle_partitions_for
+from tradewind.sinks.publish import publish, published_run, read_published, register_views
+from tradewind.sinks.tables import CatalogSink, ParquetSink
+from tradewind.sources.extract import conform
+from tradewind.sources.tables import CatalogZone, JdbcZone, ParquetZone, hash_predicates
+
+
+@pytest.mark.parametrize("seed, duplicates", [(1, False), (2, True)])
+@pytest.mark.parametrize("land", [False, True])
+def test_refresh_equals_oracle(spark, tmp_path, seed, duplicates, land):
+    _, db = small_inputs(spark, seed, duplicates)
+    source = SmallSource(spark, make_rows(seed, duplicates))
+    report = run(spark, source, Config(str(tmp_path), land_inputs=land))
+    assert report.succeeded, report.error
+    tables = read_published(spark, str(tmp_path))
+    assert set(tables) == set(report.rows) == set(WAREHOUSE_COLUMNS)
+    for name, df in tables.items():
+        assert tuple(df.columns) == WAREHOUSE_COLUMNS[name]
+        if not (duplicates and name in ("dim_customers", "dim_products")):
+            expected = oracle_rows(db, derived_ctes(f"SELECT * FROM {name}"))
+            assert rows_of(df) == expected, name
+            assert report.rows[name] == len(expected)
+
+
+def test_rerun_is_idempotent_and_reports_accumulate(spark, tmp_path):
+    source, target = GivenTables(spark, str(TESTDATA / "sf0.001")), str(tmp_path)
+    first = run(spark, source, Config(target))
+    before = {name: rows_of(df) for name, df in read_published(spark, target).items()}
+    second = run(spark, source, Config(target))
+    assert published_run(spark, target) == second.run_id != first.run_id
+    assert {name: rows_of(df) for name, df in read_published(spark, target).items()} == before
+    reports = spark.read.parquet(f"{target}/_reports")
+    assert reports.count() == 16
+    assert reports.filter("started <= finished and status = 'succeeded'").count() == 16
+    register_views(spark, target)
+    assert spark.sql("select count(*) from dim_date").first()[0] == second.rows["dim_date"]
+
+
+def test_failure_keeps_the_last_good_run(spark, tmp_path, monkeypatch):
+    source, target = GivenTables(spark, str(TESTDATA / "sf0.001")), str(tmp_path)
+    good = run(spark, source, Config(target))
+
+    def broken(orders):
+        return orders.select(F.raise_error(F.lit("broken disk")).alias("date"))
+
+    monkeypatch.setattr(job.star, "dim_date", broken)
+    bad = run(spark, source, Config(target))
+    assert bad.status == "failed" and "broken disk" in bad.error
+    assert published_run(spark, target) == good.run_id
+    assert read_published(spark, target)["dim_date"].count() == good.rows["dim_date"]
+    failed = spark.read.parquet(f"{target}/_reports").filter("status = 'failed'").collect()
+    assert len(failed) == 1 and failed[0]["table_name"] is None
+
+
+def test_nothing_published(spark, tmp_path):
+    assert published_run(spark, str(tmp_path)) is None
+    with pytest.raises(LookupError):
+        read_published(spark, str(tmp_path))
+
+
+def test_marts_are_stored_in_report_order(spark, tmp_path):
+    run(spark, GivenTables(spark, str(TESTDATA / "sf0.001")), Config(str(tmp_path)))
+    tables = read_published(spark, str(tmp_path))
+    days = [r["order_date"] for r in tables["daily_revenue"].coalesce(1).collect()]
+    revenue = [r["total_revenue"] for r in tables["top_products"].coalesce(1).collect()]
+    assert days == sorted(days) and revenue == sorted(revenue, reverse=True)
+
+
+def test_command_line_from_csv(spark, tmp_path, monkeypatch):
+    rows = make_rows(1, False)
+    for name, schema in SCHEMAS.items():
+        frame = spark.createDataFrame(rows[name], schema).coalesce(1)
+        file = f"{tmp_path}/csv/{name.removeprefix('raw_')}.csv"
+        frame.write.option("header", True).csv(file)
+    args = ["--csv", f"{tmp_path}/csv", "--raw", f"{tmp_path}/raw", "--target", f"{tmp_path}/out"]
+    assert main(args) == 0
+    _, db = small_inputs(spark, 1)
+    for name, df in read_published(spark, f"{tmp_path}/out").items():
+        assert rows_of(df) == oracle_rows(db, derived_ctes(f"SELECT * FROM {name}")), name
+    assert main(["--raw", f"{tmp_path}/nowhere", "--target", f"{tmp_path}/out"]) == 1
+    with pytest.raises(SystemExit):
+        main(["--target", f"{tmp_path}/out"])
+
+
+def test_publish_writes_all_tables(spark, tmp_path):
+    tables = {
+        name: spark.range(0 if name == "dim_date" else 3).select(
+            *(F.col("id").alias(column) for column in columns)
+        )
+        for name, columns in WAREHOUSE_COLUMNS.items()
+    }
+    counts = publish(spark, tables, str(tmp_path), "r1")
+    assert counts == {name: 0 if name == "dim_date" else 3 for name in WAREHOUSE_COLUMNS}
+
+
+def test_parquet_sink_replaces_and_counts(spark, tmp_path):
+    sink = ParquetSink(ParquetZone(spark, str(tmp_path)))
+    assert sink.write(spark.range(10).toDF("n"), "t") == 10
+    assert sink.write(spark.range(4).toDF("n"), "t") == 4
+    assert sink.zone.table("t").count() == 4
+
+
+def test_catalog_sink_replaces_and_counts(spark, conf, tmp_path):
+    spark.sql(f"create database if not exists tw location '{tmp_path}/tw.db'")
+    try:
+        sink = CatalogSink(CatalogZone(spark, "tw"))
+        for n in (10, 4):
+            assert sink.write(spark.range(n).toDF("n"), "t") == n
+        assert sink.zone.table("t").count() == 4
+    finally:
+        spark.sql("drop database tw cascade")
+
+
+def test_money_is_read_as_decimal(spark):
+    df = conform(spark.sql("select 1.005d price, double('NaN') payment_value, 1 other"))
+    assert dict(df.dtypes)["price"] == "decimal(18,4)"
+    assert [str(v) for v in df.first()] == ["1.0050", "None", "1"]
+
+
+def test_jdbc_options(spark, monkeypatch):
+    monkeypatch.setenv("TRADEWIND_JDBC_USER", "reader")
+    monkeypatch.setenv("TRADEWIND_JDBC_PASSWORD", "secret")
+    zone = JdbcZone(spark, "jdbc:any", {"driver": "some.Driver"})
+    common = {"user": "reader", "password": "secret", "driver": "some.Driver"}
+    assert zone.write_properties() == {"batchsize": "1000"} | common
+    assert zone.read_properties() == {"fetchsize": "10000"} | common
+    assert "secret" not in repr(zone)
+
+
+def test_hash_predicates_cover_every_row_once():
+    parts = hash_predicates("k", 3)
+    assert len(parts) == 3 and parts[0].endswith("or k is null)")
+    assert all(p.startswith("mod(abs(hashtext(k::text)::bigint), 3)") for p in parts[1:])
+
+
+def test_scratch_folder_follows_the_session(spark):
+    folder = scratch_dir(spark, "test")
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        assert folder.startswith(shared)
+    spark.range(1).write.parquet(f"{folder}/t")
+    assert path_exists(spark, folder)
+    drop_scratch(spark, folder)
+    assert not path_exists(spark, folder)
+    with pytest.raises(ValueError):
+        drop_scratch(spark, "/somewhere/else")
+
+
+def test_shuffle_partitions_grow_with_volume():
+    assert shuffle_partitions_for(0, cores=8) == 8
+    assert shuffle_partitions_for(10 * 2**40, cores=8) == 10 * 2**40 // (128 * 2**20)
+    assert shuffle_partitions_for(2**60) == 100_000

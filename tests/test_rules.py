@@ -1,0 +1,252 @@
+"""One test per semantic rule, on inline rows."""
+
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tradewind.functions.dates import calendar_columns, elapsed_days, strict_timestamp
+from tradewind.functions.numbers import mean, round_half_even, sum_or_zero
+from tradewind.operators.aggregates import keep_first, payments_per_order, row_order
+from tradewind.operators.calendar import calendar, date_spine
+from tradewind.operators.clean import clean_orders, coerce_timestamps, keyed, only_status
+from tradewind.operators.joins import lookup_join
+from tradewind.operators.ordering import first_rows, in_report_order
+from tradewind.plans import marts, star
+from tradewind.plans.master import master
+from tradewind.plans.products import products_with_category
+from tradewind.plans.rollups import customer_summary, order_totals
+
+ORDER = "order_id string, customer_id string, order_status string, order_purchase_timestamp string, " \
+    "order_approved_at string, order_delivered_carrier_date string, " \
+    "order_delivered_customer_date string, order_estimated_delivery_date string"
+CUSTOMER = "customer_id string, customer_unique_id string, customer_zip_code_prefix string, " \
+    "customer_city string, customer_state string"
+ITEM = "order_id string, order_item_id int, product_id string, seller_id string, " \
+    "price decimal(18,4), freight_value decimal(18,4)"
+PAYMENT = "order_id string, payment_type string, payment_installments int, " \
+    "payment_value decimal(18,4), _ord int"
+AT = "2020-03-01 10:00:00"
+
+
+def order(spark, *rows):
+    """Orders given as (order, customer, status)."""
+    return spark.createDataFrame([(o, c, s, AT, AT, AT, AT, AT) for o, c, s in rows], ORDER)
+
+
+def values(df):
+    return [tuple(row) for row in df.collect()]
+
+
+def test_null_group_keys_are_dropped(spark):
+    df = spark.createDataFrame([("a",), ("a",), (None,), ("b",)], "k string")
+    counts = keyed(df, "k").groupBy("k").count()
+    assert sorted(values(counts)) == [("a", 2), ("b", 1)]
+
+
+def test_aggregates_of_an_all_null_group(spark):
+    df = spark.createDataFrame([(None,), (None,)], "v decimal(18,4)")
+    row = df.agg(sum_or_zero(F.col("v")), mean(F.col("v")), F.count("v")).first()
+    assert tuple(row) == (Decimal(0), None, 0)
+
+
+def test_null_join_keys_do_not_match(spark):
+    left = spark.createDataFrame([(None, 1), ("a", 2)], "k string, l int")
+    right = spark.createDataFrame([(None, 8), ("a", 9)], "k string, r int")
+    assert sorted(values(lookup_join(left, right, "k")), key=repr) == [("a", 2, 9), (None, 1, None)]
+
+
+def test_first_payment_type_is_the_first_present_one(spark):
+    rows = [("o", "late", 2, Decimal(3), 7), ("o", None, 1, Decimal(4), 1), ("o", "x", 9, None, 2),
+            ("p", None, 1, None, 1), (None, "lost", 1, Decimal(1), 1)]
+    result = payments_per_order(spark.createDataFrame(rows, PAYMENT))
+    assert sorted(values(result)) == [("o", "x", 9, Decimal(7)), ("p", None, 1, Decimal(0))]
+
+
+def test_report_order_puts_nulls_last(spark):
+    rows = [("a", 3.0), ("b", None), ("c", 1.0)]
+    df = spark.createDataFrame(rows, "customer_state string, avg_delivery_days double")
+    ordered = in_report_order("delivery_performance", df)
+    assert [row[1] for row in ordered.collect()] == [1.0, 3.0, None]
+    rows = [("a", "x", 3.0), ("b", "x", None), ("d", "x", 1.0), ("c", "x", 1.0)]
+    df = spark.createDataFrame(
+        rows, "product_id string, category_english string, total_revenue double"
+    )
+    assert [r[0] for r in in_report_order("top_products", df).collect()] == ["a", "c", "d", "b"]
+    assert [r[0] for r in first_rows("top_products", df, 2).collect()] == ["a", "c"]
+
+
+def test_keep_first_counts_null_as_a_key(spark):
+    rows = [(None, 1), (None, 2), ("x", 3), ("x", 4)]
+    df = spark.createDataFrame(rows, "k string, n int").repartition(4)
+    assert sorted(values(keep_first(df, "k", F.col("n"))), key=repr) == [("x", 3), (None, 1)]
+
+
+def test_recorded_row_order_wins_over_business_key(spark):
+    df = spark.createDataFrame([("u", "b", 1), ("u", "a", 2)], "k string, id string, _ord int")
+    assert values(keep_first(df, "k", row_order(df, "id"))) == [("u", "b")]
+    df = df.drop("_ord")
+    assert values(keep_first(df, "k", row_order(df, "id"))) == [("u", "a")]
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("2017-10-10 21:25:13", datetime(2017, 10, 10, 21, 25, 13)),
+        ("2017-10-10", None),
+        ("bad", None),
+        (None, None),
+        ("2017-10-10T21:25:13", None),
+        ("2017-10-10 21:25:13.5", None),
+        ("2017-02-30 21:25:13", None),
+        (" 2017-10-10 21:25:13", None),
+        ("2017-10-10 21:25:13 UTC", None),
+    ],
+)
+def test_strict_timestamp(spark, text, expected):
+    df = spark.createDataFrame([(text,)], "t string")
+    assert df.select(strict_timestamp(F.col("t"))).first()[0] == expected
+
+
+def test_strict_timestamp_with_another_format(spark):
+    df = spark.createDataFrame([("10/02/2017 03:04",), ("2017-02-10 03:04:05",)], "t string")
+    parsed = df.select(strict_timestamp(F.col("t"), "dd/MM/yyyy HH:mm"))
+    assert values(parsed) == [(datetime(2017, 2, 10, 3, 4),), (None,)]
+
+
+def test_typed_timestamps_pass_through(spark):
+    df = spark.sql("select timestamp_ntz'2020-01-01 00:00:01' t")
+    assert coerce_timestamps(df, ["t"]).first()[0] == datetime(2020, 1, 1, 0, 0, 1)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Sao_Paulo", "Asia/Tokyo"])
+def test_times_do_not_depend_on_the_session_zone(spark, conf, zone):
+    conf("spark.sql.session.timeZone", zone)
+    # 2018-11-04 00:30 does not exist on Sao Paulo clocks.
+    rows = [("2018-11-04 00:30:00", "2018-11-05 00:30:00")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    a, b = strict_timestamp(F.col("a")), strict_timestamp(F.col("b"))
+    row = df.select(a, F.to_date(a), elapsed_days(a, b)).first()
+    assert tuple(row) == (datetime(2018, 11, 4, 0, 30), date(2018, 11, 4), 1)
+
+
+@pytest.mark.parametrize(
+    "start, end, days",
+    [
+        ("2020-01-01 12:00:01", "2020-01-03 11:59:59", 1),
+        ("2020-01-01 12:00:00", "2020-01-03 12:00:00", 2),
+        ("2020-01-01 23:00:00", "2020-01-01 12:00:00", -1),
+        ("2020-01-03 12:00:00", "2020-01-01 12:00:00", -2),
+        ("2020-01-03 12:00:00", "2020-01-01 11:00:00", -3),
+        (None, "2020-01-01 12:00:00", None),
+    ],
+)
+def test_elapsed_days_floor(spark, start, end, days):
+    df = spark.createDataFrame([(start, end)], "a string, b string")
+    ends = [F.col(c).try_cast("timestamp_ntz") for c in "ab"]
+    assert df.select(elapsed_days(*ends)).first()[0] == days
+
+
+def spine(spark, start, end):
+    bounds = spark.createDataFrame([(start, end)], "a string, b string").selectExpr(
+        "cast(a as timestamp_ntz) min_ts", "cast(b as timestamp_ntz) max_ts"
+    )
+    return date_spine(bounds)
+
+
+def test_date_spine_keeps_time_of_day(spark):
+    days = spine(spark, "2020-01-01 12:00:00", "2020-01-03 11:00:00")
+    assert values(days) == [(date(2020, 1, 1),), (date(2020, 1, 2),)]
+    assert spine(spark, "2020-01-01 12:00:00", "2020-01-03 12:00:00").count() == 3
+    assert spine(spark, None, None).count() == 0
+
+
+def test_calendar_attributes(spark):
+    days = calendar(spine(spark, "2024-01-01 00:00:00", "2024-01-06 00:00:00"))
+    found = {row["date"]: row for row in days.collect()}
+    monday, saturday = found[date(2024, 1, 1)], found[date(2024, 1, 6)]
+    assert tuple(monday) == (
+        date(2024, 1, 1), 1, 1, "January", 1, 2024, 0, "Monday", False,
+    )
+    assert (saturday["day_of_week"], saturday["day_name"], saturday["is_weekend"]) == (
+        5, "Saturday", True,
+    )
+    assert list(calendar_columns(F.col("date"))) == days.columns
+
+
+@pytest.mark.parametrize(
+    "value, digits, expected",
+    [(0.125, 2, 0.12), (0.375, 2, 0.38), (1.005, 2, 1.0),
+     (0.25, 1, 0.2), (0.35, 1, 0.4), (2.45, 1, 2.4), (-0.125, 2, -0.12)],
+)
+def test_round_half_even(spark, value, digits, expected):
+    df = spark.createDataFrame([(value,)], "v double")
+    assert df.select(round_half_even(F.col("v"), digits)).first()[0] == pytest.approx(
+        expected, abs=1e-12
+    )
+
+
+def test_status_filter_excludes_null(spark):
+    orders = order(spark, ("a", "c", "delivered"), ("b", "c", None), ("d", "c", "shipped"))
+    assert [r["order_id"] for r in only_status(orders).collect()] == ["a"]
+    assert clean_orders(orders).first()["order_date"] == date(2020, 3, 1)
+
+
+def star_inputs(spark):
+    orders = clean_orders(order(spark, ("o1", "c1", "delivered"), ("o2", "c1", "canceled")))
+    customers = spark.createDataFrame(
+        [("c1", "u", "1", "city", "S"), ("c2", "u", "2", "town", "S")], CUSTOMER
+    )
+    items = spark.createDataFrame(
+        [("o1", 1, "p", "s", Decimal(5), Decimal(1)), ("o1", 2, "p", "s", Decimal(6), None),
+         ("o2", 1, "p", "s", Decimal(7), Decimal(1))],
+        ITEM,
+    )
+    products = spark.createDataFrame([("p", "cat", "cat")], "product_id string,"
+                                     " product_category_name string, category_english string")
+    payments = spark.createDataFrame([("o1", "card", 1, Decimal(10), 1)], PAYMENT)
+    return orders, customers, items, products, payments
+
+
+def test_payment_counts_once_per_item(spark):
+    orders, customers, items, products, payments = star_inputs(spark)
+    wide = master(orders, customers, items, products, payments)
+    for summary in (
+        marts.customer_summary(wide),
+        customer_summary(order_totals(orders, items, payments), customers),
+    ):
+        assert values(summary) == [
+            ("u", "city", "S", 1, 20.0, date(2020, 3, 1), date(2020, 3, 1))
+        ]
+
+
+def test_fact_keeps_items_of_other_orders(spark):
+    orders, _, items, products, _ = star_inputs(spark)
+    fact = star.fact_order_items(items, orders, products)
+    rows = {(r["order_id"], r["order_item_id"]): r for r in fact.collect()}
+    assert len(rows) == 3
+    other = rows["o2", 1]
+    assert (other["customer_id"], other["order_date"], other["order_status"]) == (None,) * 3
+    assert other["revenue"] == 8.0 and rows["o1", 2]["revenue"] is None
+
+
+def test_moved_customer_has_two_summary_rows(spark):
+    _, customers, items, products, payments = star_inputs(spark)
+    orders = clean_orders(order(spark, ("o1", "c1", "delivered"), ("o3", "c2", "delivered")))
+    wide = master(orders, customers, items, products, payments)
+    assert sorted(r["customer_city"] for r in marts.customer_summary(wide).collect()) == [
+        "city", "town",
+    ]
+
+
+def test_category_falls_back_to_the_original_name(spark):
+    raw = spark.createDataFrame(
+        [("1", "a"), ("2", "z"), ("3", None)], "product_id string, product_category_name string"
+    )
+    translation = spark.createDataFrame(
+        [("a", "apples"), (None, "nothing")],
+        "product_category_name string, product_category_name_english string",
+    )
+    result = products_with_category(raw, translation).select("product_id", "category_english")
+    assert sorted(values(result)) == [("1", "apples"), ("2", "z"), ("3", None)]

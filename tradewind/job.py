@@ -12,6 +12,7 @@ import logging
 import sys
 import traceback
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -91,7 +92,7 @@ def build(
     """Write the eight tables of a run to its zone; row counts by table.
 
     Item rows are shuffled for the fact and nowhere else: the marts read either the
-    written fact or the staged order totals.
+    written fact or the staged order totals, and start as soon as that is there.
     """
     staging = ParquetSink(ParquetZone(spark, scratch))
     data = extract(source)
@@ -103,46 +104,54 @@ def build(
     customers, items = data["customers"], data["order_items"]
     products, payments = data["products"], data["payments"]
     keys = measure_keys(orders, customers, products)
-    if keys.all_hold:
-        shared = rollups.order_totals(orders, items, payments)
-    else:
-        log.warning("duplicate join keys (%s): marts come from the master table", keys)
-        shared = master(orders, customers, items, products, payments)
-        shared = shared.select(
+
+    def write(**tables: Callable[[], DataFrame]) -> dict[str, int]:
+        return write_tables(zone, tables, config.threads)
+
+    def fact() -> dict[str, int]:
+        return write(fact_order_items=lambda: star.fact_order_items(items, orders, products))
+
+    def fact_then_products() -> dict[str, int]:
+        rows = fact()
+        sold = zone.table("fact_order_items").filter(F.col("order_status").isNotNull())
+        return rows | write(top_products=lambda: marts.top_products(with_revenue(conform(sold))))
+
+    def marts_from_totals() -> dict[str, int]:
+        totals = _stage(staging, rollups.order_totals(orders, items, payments), "order_totals")
+        return write(
+            daily_revenue=lambda: rollups.daily_revenue(totals),
+            customer_summary=lambda: rollups.customer_summary(totals, customers),
+            delivery_performance=lambda: marts.delivery_performance(totals, customers),
+            dim_date=lambda: star.dim_date(totals),
+        )
+
+    def marts_from_master() -> dict[str, int]:
+        wide = master(orders, customers, items, products, payments).select(
             "order_id", "order_date", *marts.CUSTOMER_KEYS, *marts.PRODUCT_KEYS,
             "order_item_id", "price", "revenue", "payment_value",
         )
+        wide = _stage(staging, wide, "master")
+        return write(
+            daily_revenue=lambda: marts.daily_revenue(wide),
+            top_products=lambda: marts.top_products(wide),
+            customer_summary=lambda: marts.customer_summary(wide),
+            delivery_performance=lambda: marts.delivery_performance(orders, customers),
+            dim_date=lambda: star.dim_date(orders),
+        )
 
-    first = {
-        "fact_order_items": star.fact_order_items(items, orders, products),
-        "dim_customers": star.dim_customers(customers),
-        "dim_products": star.dim_products(products),
-    }
-    sink = ParquetSink(zone)
-    jobs = [lambda: _stage(staging, shared, "shared")]
-    jobs += [lambda n=n, df=df: sink.write(df, n) for n, df in first.items()]
-    staged, *written = in_parallel(spark, jobs, config.threads)
-    rows = dict(zip(first, written))
+    def dimensions() -> dict[str, int]:
+        return write(
+            dim_customers=lambda: star.dim_customers(customers),
+            dim_products=lambda: star.dim_products(products),
+        )
 
     if keys.all_hold:
-        fact = zone.table("fact_order_items").filter(F.col("order_status").isNotNull())
-        delivered = with_revenue(conform(fact))
-        second = {
-            "daily_revenue": rollups.daily_revenue(staged),
-            "top_products": marts.top_products(delivered),
-            "customer_summary": rollups.customer_summary(staged, customers),
-            "delivery_performance": marts.delivery_performance(staged, customers),
-            "dim_date": star.dim_date(staged),
-        }
+        chains = [fact_then_products, marts_from_totals, dimensions]
     else:
-        second = {
-            "daily_revenue": marts.daily_revenue(staged),
-            "top_products": marts.top_products(staged),
-            "customer_summary": marts.customer_summary(staged),
-            "delivery_performance": marts.delivery_performance(orders, customers),
-            "dim_date": star.dim_date(orders),
-        }
-    return rows | write_tables(zone, second, config.threads)
+        log.warning("duplicate join keys (%s): marts come from the master table", keys)
+        chains = [fact, marts_from_master, dimensions]
+    rows = in_parallel(spark, chains, len(chains))
+    return {name: count for written in rows for name, count in written.items()}
 
 
 def run(spark: SparkSession, source: Source, config: Config) -> RunReport:

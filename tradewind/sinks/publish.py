@@ -7,7 +7,7 @@ of its tables are complete, so a failed run leaves the last good tables visible.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -37,15 +37,15 @@ def in_parallel(spark: SparkSession, jobs: Iterable[Callable[[], object]], threa
 
 
 def write_tables(
-    zone: ParquetZone, tables: dict[str, DataFrame], threads: int = 4
+    zone: ParquetZone, tables: Mapping[str, Callable[[], DataFrame]], threads: int = 4
 ) -> dict[str, int]:
-    """Write warehouse tables in report order; row counts by table."""
+    """Build and write warehouse tables in report order; row counts by table."""
     sink = ParquetSink(zone)
 
-    def job(name: str, df: DataFrame) -> Callable[[], int]:
-        return lambda: sink.write(in_report_order(name, df), name)
+    def job(name: str, build: Callable[[], DataFrame]) -> Callable[[], int]:
+        return lambda: sink.write(in_report_order(name, build()), name)
 
-    counts = in_parallel(zone.spark, [job(n, df) for n, df in tables.items()], threads)
+    counts = in_parallel(zone.spark, [job(*table) for table in tables.items()], threads)
     return dict(zip(tables, counts))
 
 
@@ -71,7 +71,8 @@ def publish(
     spark: SparkSession, tables: dict[str, DataFrame], target: str, run_id: str, threads: int = 4
 ) -> dict[str, int]:
     """Write all tables of a run, then make it visible; row counts by table."""
-    counts = write_tables(run_zone(spark, target, run_id), tables, threads)
+    builders = {name: (lambda df=df: df) for name, df in tables.items()}
+    counts = write_tables(run_zone(spark, target, run_id), builders, threads)
     mark_published(spark, target, run_id)
     return counts
 

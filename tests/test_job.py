@@ -9,7 +9,14 @@ from tradewind import job
 from tradewind.catalogue.fixtures import GivenTables
 from tradewind.job import Config, main, run
 from tradewind.schemas import WAREHOUSE_COLUMNS
-from tradewind.session import drop_scratch, path_exists, scratch_dir, shuffle_partitions_for
+from tradewind.session import (
+    drop_scratch,
+    estimated_bytes,
+    fit_shuffles,
+    path_exists,
+    scratch_dir,
+    shuffle_partitions_for,
+)
 from tradewind.sinks.publish import publish, published_run, read_published, register_views
 from tradewind.sinks.tables import CatalogSink, ParquetSink
 from tradewind.sources.extract import conform
@@ -157,7 +164,16 @@ def test_scratch_folder_follows_the_session(spark):
         drop_scratch(spark, "/somewhere/else")
 
 
-def test_shuffle_partitions_grow_with_volume():
-    assert shuffle_partitions_for(0, cores=8) == 8
-    assert shuffle_partitions_for(10 * 2**40, cores=8) == 10 * 2**40 // (128 * 2**20)
+def test_shuffle_partitions_grow_with_volume(spark, conf, tmp_path):
+    assert shuffle_partitions_for(0) == 1
+    assert shuffle_partitions_for(10 * 2**40) == 10 * 2**40 // (128 * 2**20)
     assert shuffle_partitions_for(2**60) == 100_000
+
+    conf("spark.sql.shuffle.partitions", 8)
+    spark.range(100).write.parquet(f"{tmp_path}/t")
+    stored = spark.read.parquet(f"{tmp_path}/t")
+    assert 0 < estimated_bytes(stored) < 2**20
+    fit_shuffles(spark, stored)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    fit_shuffles(spark, stored, spark.range(2**31))
+    assert int(spark.conf.get("spark.sql.shuffle.partitions")) == 3 * 2**34 // 2**27

@@ -248,6 +248,7 @@ SELECTS: dict[str, str] = {
     "s5_items_scan": f"SELECT {_ITEM_COLUMNS} FROM raw_order_items",
     "s5_payments_scan": f"SELECT {_PAYMENT_COLUMNS} FROM raw_order_payments",
     "s6_products_query": "SELECT * FROM products",
+    "s6_products_sql": "SELECT * FROM products",
     "s7_warehouse_replace": "SELECT * FROM delivery_performance",
     "s8_publish": row_counts(_WAREHOUSE),
     "s11_extract_bundle": """

@@ -22,12 +22,12 @@ from tradewind.plans.master import master
 from tradewind.plans.warehouse import builders, transform
 from tradewind.quality import check_keys
 from tradewind.schemas import ORDINAL, RAW_TABLES, RawTable
-from tradewind.session import configure, scratch_dir
+from tradewind.session import configure, fit_shuffles, scratch_dir
 from tradewind.sinks.publish import publish, read_published
 from tradewind.sinks.tables import ParquetSink
 from tradewind.sources.csv import ingest, read_csv
 from tradewind.sources.extract import extract
-from tradewind.sources.tables import ParquetZone
+from tradewind.sources.tables import ParquetZone, query_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -37,7 +37,9 @@ def query(function: Query) -> Query:
     """Register a query under its function name, run with the library's settings."""
 
     def configured(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return function(configure(spark), sf_dir)
+        configure(spark)
+        fit_shuffles(spark, _raw(spark, sf_dir, "raw_order_items"))
+        return function(spark, sf_dir)
 
     _QUERIES[function.__name__] = configured
     return function
@@ -176,6 +178,20 @@ def s6_products_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return given_inputs(spark, sf_dir)["products"]
 
 
+@query
+def s6_products_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return query_tables(
+        spark,
+        """
+        select product_id, product_category_name,
+          coalesce(product_category_name_english, product_category_name) as category_english
+        from {products} left join {translation} using (product_category_name)
+        """,
+        products=_raw(spark, sf_dir, "raw_products"),
+        translation=_raw(spark, sf_dir, "raw_category_translation"),
+    )
+
+
 @query
 def s7_warehouse_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     zone = ParquetZone(spark, scratch_dir(spark, "warehouse"))

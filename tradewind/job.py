@@ -24,7 +24,7 @@ from tradewind.plans import marts, rollups, star
 from tradewind.plans.master import master
 from tradewind.plans.warehouse import measure_keys
 from tradewind.quality import check_keys
-from tradewind.session import configure, drop_scratch, scratch_dir
+from tradewind.session import configure, drop_scratch, fit_shuffles, scratch_dir
 from tradewind.sinks.publish import in_parallel, mark_published, run_zone, write_tables
 from tradewind.sinks.tables import ParquetSink
 from tradewind.sources.csv import ingest
@@ -46,7 +46,6 @@ class Config:
     land_inputs: bool = False
     threads: int = 4
     check_dimensions: bool = True
-    expected_shuffle_bytes: int | None = None
 
 
 @dataclass
@@ -100,6 +99,7 @@ def build(
         jobs = [lambda n=n, df=df: _stage(staging, df, f"input_{n}") for n, df in data.items()]
         data = dict(zip(data, in_parallel(spark, jobs, config.threads)))
 
+    fit_shuffles(spark, *data.values())
     orders = clean_orders(data["orders"])
     customers, items = data["customers"], data["order_items"]
     products, payments = data["products"], data["payments"]
@@ -156,7 +156,7 @@ def build(
 
 def run(spark: SparkSession, source: Source, config: Config) -> RunReport:
     """One full refresh. A failure is reported, not raised; the last good run stays visible."""
-    configure(spark, config.expected_shuffle_bytes)
+    configure(spark)
     started = _now()
     report = RunReport(f"{started:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}", started)
     log.info("run %s started", report.run_id)
@@ -210,7 +210,6 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--database", help="catalog database of the raw tables")
     parser.add_argument("--jdbc-url", help="database of the raw tables")
     parser.add_argument("--target", required=True, help="warehouse folder")
-    parser.add_argument("--expected-shuffle-bytes", type=int)
     args = parser.parse_args(argv)
     if not (args.raw or args.database or args.jdbc_url):
         parser.error("one of --raw, --database and --jdbc-url is needed")
@@ -219,11 +218,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = configure(SparkSession.builder.appName("tradewind-refresh").getOrCreate())
     if args.csv:
         ingest(spark, args.csv, ParquetSink(ParquetZone(spark, args.raw)))
-    config = Config(
-        args.target,
-        land_inputs=bool(args.jdbc_url),
-        expected_shuffle_bytes=args.expected_shuffle_bytes,
-    )
+    config = Config(args.target, land_inputs=bool(args.jdbc_url))
     return 0 if run(spark, _source(spark, args), config).succeeded else 1
 
 

@@ -39,6 +39,9 @@ def fan_out_join(
     are copied once per salt. A copy whose salt got no right row is dropped again:
     a hot key has matches, so its left rows are never unmatched. All other keys have
     the one salt 0 and behave as in a plain left join.
+
+    Salts follow the row position, so that even identical rows are spread; ``right``
+    must be a stored table, whose rows a repeated task reads in the same order.
     """
     hot = F.broadcast(hot_keys(right, key, rows_per_task))
     salts = F.coalesce("_salts", F.lit(1))

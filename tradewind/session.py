@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings, safe to apply to a session somebody else created.
 RUNTIME_CONF = {
@@ -20,27 +20,42 @@ RUNTIME_CONF = {
 }
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+# Compressed rows of a shuffle take about this multiple of the same data in parquet.
+ROW_EXPANSION = 3
+# Catalyst's estimate for a source without statistics, such as JDBC, is Long.MaxValue.
+UNKNOWN_BYTES = 2**62
 
 
-def shuffle_partitions_for(shuffled_bytes: int, cores: int = 8, most: int = 100_000) -> int:
+def shuffle_partitions_for(shuffled_bytes: int, most: int = 100_000) -> int:
     """Partition count that keeps one shuffle partition near 128 MB.
 
     AQE merges partitions that turn out small but cannot split the ones of an
     aggregation, so the starting number must fit the largest shuffle of the job.
     """
-    wanted = -(-int(shuffled_bytes) // TARGET_PARTITION_BYTES)
-    return max(cores, min(most, wanted))
+    return max(1, min(most, -(-shuffled_bytes // TARGET_PARTITION_BYTES)))
 
 
-def configure(spark: SparkSession, expected_shuffle_bytes: int | None = None) -> SparkSession:
-    """Apply the runtime settings; size shuffles when the volume is known."""
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate from file sizes; None for sources that have none."""
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return estimate if estimate < UNKNOWN_BYTES else None
+
+
+def fit_shuffles(spark: SparkSession, *inputs: DataFrame) -> None:
+    """Raise the shuffle partition count to what the largest input needs.
+
+    It is never lowered: AQE merges partitions that stay small.
+    """
+    sizes = [size for size in map(estimated_bytes, inputs) if size]
+    needed = shuffle_partitions_for(ROW_EXPANSION * max(sizes, default=0))
+    if needed > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(needed))
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings to a session."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
-    if expected_shuffle_bytes is not None:
-        partitions = shuffle_partitions_for(
-            expected_shuffle_bytes, spark.sparkContext.defaultParallelism
-        )
-        spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
     return spark
 
 

@@ -37,6 +37,11 @@ class CatalogZone:
         return self.spark.table(self.path(name))
 
 
+def query_tables(spark: SparkSession, sql: str, **tables: DataFrame) -> DataFrame:
+    """Result of a SQL text over frames, each written as ``{name}`` in the text."""
+    return spark.sql(sql, **tables)
+
+
 def hash_predicates(key: str, partitions: int) -> list[str]:
     """Disjoint PostgreSQL conditions that split a table by the hash of any key type."""
     bucket = f"mod(abs(hashtext({key}::text)::bigint), {partitions})"

@@ -5,6 +5,7 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
+from small import SCHEMAS
 
 from tradewind.functions.dates import calendar_columns, elapsed_days, strict_timestamp
 from tradewind.functions.numbers import mean, round_half_even, sum_or_zero
@@ -18,15 +19,13 @@ from tradewind.plans.master import master
 from tradewind.plans.products import products_with_category
 from tradewind.plans.rollups import customer_summary, order_totals
 
-ORDER = "order_id string, customer_id string, order_status string, order_purchase_timestamp string, " \
-    "order_approved_at string, order_delivered_carrier_date string, " \
-    "order_delivered_customer_date string, order_estimated_delivery_date string"
-CUSTOMER = "customer_id string, customer_unique_id string, customer_zip_code_prefix string, " \
-    "customer_city string, customer_state string"
-ITEM = "order_id string, order_item_id int, product_id string, seller_id string, " \
-    "price decimal(18,4), freight_value decimal(18,4)"
-PAYMENT = "order_id string, payment_type string, payment_installments int, " \
-    "payment_value decimal(18,4), _ord int"
+ORDER = SCHEMAS["raw_orders"]
+CUSTOMER = SCHEMAS["raw_customers"]
+ITEM = SCHEMAS["raw_order_items"]
+PAYMENT = (
+    "order_id string, payment_type string, payment_installments int,"
+    " payment_value decimal(18,4), _ord int"
+)
 AT = "2020-03-01 10:00:00"
 
 
@@ -203,8 +202,10 @@ def star_inputs(spark):
          ("o2", 1, "p", "s", Decimal(7), Decimal(1))],
         ITEM,
     )
-    products = spark.createDataFrame([("p", "cat", "cat")], "product_id string,"
-                                     " product_category_name string, category_english string")
+    products = spark.createDataFrame(
+        [("p", "cat", "cat")],
+        "product_id string, product_category_name string, category_english string",
+    )
     payments = spark.createDataFrame([("o1", "card", 1, Decimal(10), 1)], PAYMENT)
     return orders, customers, items, products, payments
 

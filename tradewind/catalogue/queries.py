@@ -13,7 +13,12 @@ from tradewind.catalogue.fixtures import GivenTables, given_inputs
 from tradewind.functions.numbers import round_half_even
 from tradewind.job import Config, run
 from tradewind.operators import clean
-from tradewind.operators.aggregates import keep_first, payments_per_order, row_order, timestamp_bounds
+from tradewind.operators.aggregates import (
+    keep_first,
+    payments_per_order,
+    row_order,
+    timestamp_bounds,
+)
 from tradewind.operators.calendar import date_spine
 from tradewind.operators.joins import fan_out_join, lookup_join
 from tradewind.operators.ordering import first_rows, in_report_order

@@ -48,10 +48,10 @@ def fan_out_join(
     copied_left = left.join(hot, key, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), salts - 1))
     )
+    salt = F.pmod(F.monotonically_increasing_id(), salts.cast("bigint")).cast("int")
     dealt_right = (
         right.join(hot, key, "left")
-        .withColumn("_salt", F.pmod(F.monotonically_increasing_id(), salts.cast("bigint")).cast("int"))
-        .withColumn("_matched", F.lit(True))
+        .withColumns({"_salt": salt, "_matched": F.lit(True)})
         .drop("_salts")
     )
     joined = copied_left.join(dealt_right, [key, "_salt"], "left")

@@ -42,7 +42,7 @@ def estimated_bytes(df: DataFrame) -> int | None:
 
 
 def fit_shuffles(spark: SparkSession, *inputs: DataFrame) -> None:
-    """Raise the shuffle partition count to what the largest input needs.
+    """Raise the shuffle partition count to what the largest input table needs.
 
     It is never lowered: AQE merges partitions that stay small.
     """

@@ -160,6 +160,7 @@ def test_scratch_folder_follows_the_session(spark):
     assert path_exists(spark, folder)
     drop_scratch(spark, folder)
     assert not path_exists(spark, folder)
+    assert scratch_dir(spark, "test") != scratch_dir(spark, "test")
     with pytest.raises(ValueError):
         drop_scratch(spark, "/somewhere/else")
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
 import tempfile
 import uuid
 
@@ -75,28 +73,30 @@ def local_session(cores: int | str = "*", app: str = "tradewind", **conf: str) -
     return spark
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    """The path and the file system that its scheme belongs to."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder path that every executor can reach.
+    """A new folder that every executor can reach, removed when the driver ends.
 
     The cluster names its shared folder in ``spark.checkpoint.dir``. Only a local
     session without that setting gets a machine-local folder.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/tradewind/{purpose}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    folder = tempfile.mkdtemp(prefix=f"tradewind-{purpose}-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        shared = tempfile.gettempdir()
+    folder = f"{shared.rstrip('/')}/tradewind/{purpose}-{uuid.uuid4().hex}"
+    hadoop_path, file_system = _hadoop_path(spark, folder)
+    file_system.mkdirs(hadoop_path)
+    file_system.deleteOnExit(hadoop_path)
     return folder
 
 
-def _hadoop_path(spark: SparkSession, path: str):
-    """The path and the file system that its scheme belongs to."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists, on any file system Spark can reach."""
     hadoop_path, file_system = _hadoop_path(spark, path)
@@ -105,7 +105,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def drop_scratch(spark: SparkSession, folder: str) -> None:
     """Remove a folder that :func:`scratch_dir` gave out."""
-    if "tradewind" not in folder:
+    if "/tradewind/" not in folder:
         raise ValueError(f"not a scratch folder: {folder}")
     hadoop_path, file_system = _hadoop_path(spark, folder)
     file_system.delete(hadoop_path, True)

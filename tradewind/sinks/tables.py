@@ -30,11 +30,10 @@ class ParquetSink:
     """Replaces ``<root>/<table>`` folders."""
 
     zone: ParquetZone
-    partition_by: tuple[str, ...] = ()
 
     def write(self, df: DataFrame, name: str) -> int:
         df, observation = counted(df)
-        df.write.mode("overwrite").partitionBy(*self.partition_by).parquet(self.zone.path(name))
+        df.write.mode("overwrite").parquet(self.zone.path(name))
         return rows_of(observation)
 
 

@@ -1,4 +1,4 @@
-"""Key, grain and reference checks on the warehouse tables."""
+"""Key, grain and foreign-key checks on the warehouse tables."""
 
 from __future__ import annotations
 
@@ -19,7 +19,7 @@ GRAIN = {
     "dim_date": ("date",),
 }
 # Fact column -> dimension and the column it refers to.
-REFERENCES = {
+FOREIGN_KEYS = {
     "product_id": ("dim_products", "product_id"),
     "customer_id": ("dim_customers", "customer_id"),
     "order_date": ("dim_date", "date"),
@@ -54,7 +54,7 @@ def check_keys(tables: dict[str, DataFrame]) -> DataFrame:
     if fact is not None:
         checks += [
             (f"fact {column} in {name}", orphan_keys(fact, column, tables[name], key))
-            for column, (name, key) in REFERENCES.items()
+            for column, (name, key) in FOREIGN_KEYS.items()
             if name in tables
         ]
     counted = [

@@ -64,7 +64,6 @@ def local_session(cores: int | str = "*", app: str = "tradewind", **conf: str) -
         .appName(app)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.legacy.createHiveTableByDefault", "false")
     )
     for key, value in {**RUNTIME_CONF, **conf}.items():
         builder = builder.config(key, value)

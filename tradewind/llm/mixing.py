@@ -18,6 +18,8 @@ BUDGET = 1.5
 MOST_COPIES = 2
 # Documents of one source that one task moves; what stays fractional goes on to the next level.
 BUCKET_ROWS = 10_000
+# Fractional documents of a source that the landing decides together.
+LANDING = 14
 SEED = 42
 EPSILON = 1e-9
 
@@ -74,16 +76,20 @@ def _noise(key: tuple) -> float:
     return xxhash.xxh64_intdigest(repr(key).encode(), SEED) / 2.0**64
 
 
-def flight(chance: np.ndarray, size: np.ndarray, key: tuple) -> np.ndarray:
+def flight(chance: np.ndarray, size: np.ndarray, key: tuple, spare: int = 0) -> np.ndarray:
     """Moves chances to 0 or 1 within the null space of two sums: documents and words.
 
     Three fractional documents at a time leave one direction in which neither the sum of the
     chances nor that of chance times size changes. A step along it, forward or back at odds
-    that keep every expectation, takes one of the three to 0 or 1. At most two stay fractional.
+    that keep every expectation, takes one of the three to 0 or 1. At most two stay fractional,
+    or up to ``spare``, where the flight ends with so many left.
     """
     chance = chance.astype(float).copy()
     held: list[int] = []
-    for at in np.flatnonzero((chance > EPSILON) & (chance < 1 - EPSILON)).tolist():
+    waiting = np.flatnonzero((chance > EPSILON) & (chance < 1 - EPSILON)).tolist()
+    for n, at in enumerate(waiting):
+        if len(held) + len(waiting) - n <= spare:
+            break
         held.append(at)
         while len(held) == 3:
             i, j, k = held
@@ -114,15 +120,15 @@ def flight(chance: np.ndarray, size: np.ndarray, key: tuple) -> np.ndarray:
 def landing(chance: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Ends the last fractional documents of a source so that its words miss least.
 
-    Two are left at most, so all ways of rounding them are compared; ties go to fewer words.
+    They are few, so all ways of rounding them are compared; ties go to the way that misses
+    the number of documents less.
     """
     chance = chance.copy()
     open_ = np.flatnonzero((chance > EPSILON) & (chance < 1 - EPSILON))
-    wanted = float((chance[open_] * size[open_]).sum())
-    ways = [[(way >> i) & 1 for i in range(len(open_))] for way in range(1 << len(open_))]
-    sums = [float(np.dot(way, size[open_])) if len(open_) else 0.0 for way in ways]
-    best = min(range(len(ways)), key=lambda w: (abs(sums[w] - wanted), sums[w], w))
-    chance[open_] = ways[best]
+    ways = (np.arange(1 << len(open_))[:, None] >> np.arange(len(open_))) & 1
+    words = np.abs(ways @ size[open_] - float((chance[open_] * size[open_]).sum()))
+    documents = np.abs(ways.sum(axis=1) - chance[open_].sum())
+    chance[open_] = ways[np.lexsort((documents, np.round(words, 6)))[0]]
     return np.round(chance)
 
 
@@ -137,7 +143,7 @@ def _move(level: int, last: bool):
         units = units.sort_values(["ua", "ub", "un"], kind="stable")
         size = units["size"].to_numpy()
         key = (level, int(units["ua"].iloc[0]), int(units["ub"].iloc[0]), len(units))
-        moved = flight(units["chance"].to_numpy(), size, key)
+        moved = flight(units["chance"].to_numpy(), size, key, LANDING if last else 0)
         units["chance"] = landing(moved, size) if last else moved
         return units[UNIT_NAMES]
 
@@ -227,8 +233,8 @@ def mixture(docs: DataFrame) -> DataFrame:
     """The mixed corpus: each document as often as the mix takes it, columns as in ``docs``.
 
     Every document is expected target / source size times, so 0 to 2 times, and each source's
-    documents and words come as near to their expectation as the landing of two documents
-    allows. A null source is a source of its own. A null text has no words; it follows its
+    documents and words come as near to their expectation as the landing of the last few
+    documents allows. A null source is a source of its own. A null text has no words; it follows its
     source's documents, and stays out where the source has no words at all. Equal rows share
     copies. The choice depends on the rows' content only, so reruns agree.
     """

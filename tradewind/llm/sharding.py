@@ -15,7 +15,7 @@ SHARDS = 24
 ROW_BYTES = 8
 # Groups of one task at the lower levels, and of the one task at the top.
 BUCKET_GROUPS = 10_000
-TOP_GROUPS = 6_000
+TOP_GROUPS = 12_000
 # Rows of a shard that one task numbers.
 SLOT_ROWS = 5_000
 
@@ -74,11 +74,13 @@ def _partition(shards: int):
 PLACED = "kind int, ga long, gb long, bucket long, size long, part long"
 
 
-def _place(items: DataFrame, level: int, shards: int, bucket: int, top: int) -> DataFrame:
+def _place(
+    items: DataFrame, level: int, shards: int, bucket: int, top: int, last: bool = False
+) -> DataFrame:
     """(kind, ga, gb, shard) for items (kind, ga, gb, size); kind is the level they come from."""
     items = stored(items, "items")
     n, total = items.agg(F.count("*"), F.sum("size")).first()
-    if n <= top:
+    if last or n <= top:
         return (
             items.withColumn("bucket", F.lit(0).cast("long"))
             .groupBy("bucket")
@@ -87,21 +89,20 @@ def _place(items: DataFrame, level: int, shards: int, bucket: int, top: int) ->
         )
     # Fewer than a third of `top` items can be larger than this.
     large = F.col("size") * top > F.lit(3 * total)
-    # Loose groups of their own size, from the lowest level; a third of `top` on average.
-    if level == 0:
-        loose = F.pmod(F.xxhash64("gb", "ga"), F.lit(n)) < top // 3
-    else:
-        loose = F.col("kind") == 0
-    cuts = max(1, -(-n // bucket))
+    # Loose items of each level keep their own size: the finest grains go last into place.
+    drawn = F.pmod(F.xxhash64("gb", "ga", F.lit(level)), F.lit(n)) < max(1, top // 6)
+    apart = large | drawn | (F.col("kind") < level)
+    # As many bundles as the top takes, or more where a bucket would be too large for a task.
+    cuts = max(-(-n // bucket), top // 3 // shards, 1)
     placed = stored(
-        items.filter(~(large | loose))
+        items.filter(~apart)
         .withColumn("bucket", F.pmod(F.xxhash64("ga", "gb", F.lit(level)), F.lit(cuts)))
         .groupBy("bucket")
         .applyInPandas(_partition(shards), PLACED),
         "bundles",
     )
     bundles = placed.groupBy("bucket", "part").agg(F.sum("size").alias("size"))
-    above = items.filter(large | loose).unionByName(
+    above = items.filter(apart).unionByName(
         bundles.select(
             F.lit(level + 1).alias("kind"),
             F.col("bucket").alias("ga"),
@@ -109,7 +110,8 @@ def _place(items: DataFrame, level: int, shards: int, bucket: int, top: int) ->
             "size",
         )
     )
-    found = stored(_place(above, level + 1, shards, bucket, top), "placed")
+    few = cuts * shards <= max(top // 3, shards)
+    found = stored(_place(above, level + 1, shards, bucket, top, few), "placed")
     of_bundle = found.filter(F.col("kind") == level + 1).select(
         F.col("ga").alias("bucket"), F.col("gb").alias("part"), "shard"
     )
@@ -128,9 +130,11 @@ def shard_groups(
 
     Up to ``top_groups`` groups are differenced at once. More are first brought down: hash
     buckets are differenced side by side, each into as many nearly equal bundles as there are
-    shards, and bundles are the items of the next level. Groups too large for a bundle and a
-    hashed third of ``top_groups`` small ones go to the top as they are, so that it can even
-    out what large groups leave uneven. No task holds more than a bucket or the top.
+    shards, and bundles are the items of the next level. Groups too large for a bundle go to
+    the top as they are, and so do ``top_groups`` / 6 hashed items of each level, so that it
+    can even out what large groups leave uneven. The top takes a third of ``top_groups`` in
+    bundles, fewer than that in large groups, and the loose items: no task holds more than a
+    bucket or a small multiple of ``top_groups``.
     """
     items = groups.select(F.lit(0).alias("kind"), "ga", "gb", F.col("size").cast("long"))
     return _place(items, 0, shards, bucket_groups, top_groups).select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewind.llm.rows import stored
@@ -19,16 +19,16 @@ def ranked(df: DataFrame, *order: Column, name: str = "__rank") -> DataFrame:
     placed = stored(dealt.withColumn("__id", F.monotonically_increasing_id()), "ranked")
     part, place = F.shiftrightunsigned("__id", 33), F.col("__id").bitwiseAND((1 << 33) - 1)
     numbered = placed.withColumns({"__part": part, "__place": place})
-    sizes = numbered.groupBy("__part").count().withColumnsRenamed({"__part": "__p"})
-    earlier = sizes.withColumnsRenamed({"__p": "__q", "count": "__n"})
+    # One row per partition.
+    running = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = stored(
-        sizes.join(earlier, F.col("__q") < F.col("__p"), "left")
-        .groupBy("__p")
-        .agg(F.coalesce(F.sum("__n"), F.lit(0).cast("long")).alias("__before")),
+        numbered.groupBy(F.col("__part").alias("__p"))
+        .count()
+        .select("__p", (F.sum("count").over(running) - F.col("count")).alias("__before")),
         "offsets",
     )
     return (
-        numbered.join(F.broadcast(offsets), F.col("__part") == F.col("__p"))
+        numbered.join(offsets, F.col("__part") == F.col("__p"))
         .withColumn(name, F.col("__before") + F.col("__place"))
         .drop("__id", "__part", "__place", "__p", "__before")
     )

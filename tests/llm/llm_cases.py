@@ -1,0 +1,63 @@
+"""Small tables with the awkward cases, and helpers to compare results."""
+
+import random
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+WORDS = "the of and in to it is that was for on are with as his they be at one have this".split()
+
+
+def prose(seed, n):
+    """Invented sentences, the same for the same seed."""
+    pick = random.Random(seed)
+    words = [pick.choice(WORDS) + pick.choice(("", "", "er", "ing", "st")) for _ in range(n)]
+    for i in range(9, n, 10):
+        words[i] += ".\n" if pick.random() < 0.3 else "."
+    return " ".join(words).replace("\n ", "\n")
+
+
+def rows():
+    """Nulls in every column, empty and very long texts, ties, repeated rows."""
+    out = [(i, prose(i, 20 + 13 * i % 400), "en", f"s{i % 5}", 1) for i in range(60)]
+    out += [(100 + i, prose(i, 20 + 13 * i % 400), "en", "copy", 1) for i in range(0, 60, 3)]
+    near = prose(7, 300).split(" ")
+    for i in range(12):
+        changed = list(near)
+        changed[20 * i] = "changed"
+        out.append((200 + i, " ".join(changed), "de", "near", None))
+    out += [
+        (300, None, "en", "s1", 0),
+        (301, "", "en", "s1", 0),
+        (302, " \n\t \r\n", None, "s1", 0),
+        (303, "one", "en", None, 3),
+        (304, "One  two", "en", None, 3),
+        (None, "a row without an id", None, None, None),
+        (None, None, None, None, None),
+        (305, prose(1, 30_000), "en", "s2", 9),
+        (306, "Ärger ÉTÉ über alles   und 日本語 \U0001f600 ok", "xx", "日本", 9),
+        (307, "same row", "en", "s3", 1),
+        (307, "same row", "en", "s3", 1),
+        (307, "same id, other row", "en", "s3", 1),
+        (308, "x" * 50_000, "en", "s4", 1),
+        (309, "word " * 3000, "en", "s4", 1),
+    ]
+    return out
+
+
+def table(spark, data=None, partitions=5):
+    """The rows as a table over several partitions."""
+    return spark.createDataFrame(rows() if data is None else data, SCHEMA).repartition(partitions)
+
+
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def stored_documents(df, folder):
+    """Writes a table where the registered queries look for it."""
+    df.write.parquet(f"{folder}/documents.parquet")
+    return str(folder)
+
+
+def tuples(df, *names):
+    """Rows as a sorted list."""
+    return sorted((tuple(r[n] for n in names) for r in df.collect()), key=repr)

@@ -1,0 +1,81 @@
+"""Line dedup against a plain version."""
+
+import hashlib
+from collections import defaultdict
+
+import llm_cases as cases
+
+from tradewind.llm import lines, queries
+
+SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
+LONG = "A Line That Very Many Documents Have, Again And Again"
+
+
+def key_of(line):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in line.strip(SPACE))
+
+
+def expected(rows):
+    held = defaultdict(set)
+    for doc_id, text, *_ in rows:
+        for line in (text or "").split("\n"):
+            held[key_of(line)].add(doc_id)
+    common = {
+        k: max((i for i in ids if i is not None), default=None)
+        for k, ids in held.items()
+        if len(k) >= 40 and len(ids) >= 5
+    }
+    out = []
+    for doc_id, text, *_ in rows:
+        all_lines = (text or "").split("\n")
+        kept = [x for x in all_lines if common.get(key_of(x), doc_id) == doc_id]
+        digest = hashlib.sha256("\n".join(kept).encode()).hexdigest()
+        out.append((doc_id, len(all_lines), len(all_lines) - len(kept), digest))
+    return sorted(out, key=repr)
+
+
+def shared_rows():
+    rows = cases.rows()
+    forms = (LONG, f"  {LONG.upper()}\t", f"\x0b{LONG.lower()}\r", f"x\n{LONG}\n{LONG}\ny")
+    rows += [(400 + i, f"first {i}\n{forms[i % 4]}\n\nlast", "en", "s", 1) for i in range(30)]
+    rows += [(None, f"{LONG}\nunnamed", None, None, None)] * 2
+    # Forty code points exactly, and thirty-nine; four documents only; one id in five rows.
+    rows += [(500 + i, "é" * 40 + "\n" + "ü" * 39, "fr", "s", 1) for i in range(6)]
+    rows += [(600 + i, "four documents hold this line, which is too few", "", "s", 1) for i in range(4)]
+    rows += [(700, "one document in five rows holds this long line", "", "s", 1)] * 5
+    rows += [(701, "\n".join(["every line of this document is the same one"] * 500), "", "s", i) for i in range(2)]
+    rows += [(710 + i, "every line of this document is the same one", "", "s", 1) for i in range(4)]
+    return rows
+
+
+def test_query_equals_plain_version(spark, tmp_path):
+    rows = shared_rows()
+    folder = cases.stored_documents(cases.table(spark, rows), tmp_path)
+    got = queries.op9_line_dedup(spark, folder)
+    assert cases.tuples(got, "doc_id", "n_lines", "n_dropped", "kept_sha256") == expected(rows)
+
+
+def test_oracle(spark, tmp_path):
+    import duckdb
+
+    folder = cases.stored_documents(cases.table(spark, shared_rows()), tmp_path)
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
+    got = queries.op9_line_dedup(spark, folder)
+    want = db.execute(queries.ORACLE_SQL["op9_line_dedup"]).fetchall()
+    assert cases.tuples(got, "doc_id", "n_lines", "n_dropped", "kept_sha256") == sorted(want, key=repr)
+
+
+def test_no_python_in_the_plan(spark):
+    docs = cases.table(spark)
+    plan = lines.kept_lines(docs)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_empty_table_and_clashing_columns(spark):
+    assert lines.kept_lines(cases.empty(spark)).collect() == []
+    docs = cases.table(spark).selectExpr("*", "1 AS kept", "2 AS n_lines", "'x' AS id")
+    got = lines.kept_lines(docs)
+    assert cases.tuples(got, "doc_id", "kept") == cases.tuples(
+        lines.kept_lines(cases.table(spark)), "doc_id", "kept"
+    )

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from tradewind.llm import (
     decontaminate,
+    licences,
     lines,
     mixing,
     outliers,
+    pages,
     secrets,
     sharding,
     simhash,
@@ -42,6 +44,13 @@ def op2_secret_randomness(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_nearest_url(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return pages.main_texts(_table(spark, folder, "pages")).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars")
+    )
+
+
 def op4_cube_mixture(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document that the mixture takes."""
     return mixing.taken_words(_table(spark, folder, "documents"))
@@ -89,6 +98,11 @@ def op7_robust_outliers(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_licence_dice(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence wordings within every document."""
+    return licences.licence_matches(_table(spark, folder, "documents"))
+
+
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document after the lines that many documents share are dropped."""
     return lines.kept_lines(_table(spark, folder, "documents")).select(
@@ -106,13 +120,65 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_simhash_pivots,
         op2_secret_randomness,
+        op3_nearest_url,
         op4_cube_mixture,
         op5_aho_corasick,
         op6_karmarkar_karp,
         op7_robust_outliers,
+        op8_licence_dice,
         op9_line_dedup,
         op10_warc_round_trip,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = (
+    "regexp_extract_all("
+    + _LOWER.format("coalesce(text, '')")
+    + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+ORACLE_SQL: dict[str, str] = {
+    "op5_aho_corasick": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+i AS (SELECT coalesce(item_id::VARCHAR, '') AS item, {_WORDS} AS w FROM benchmark),
+iw AS (SELECT DISTINCT item, least(len(w), 10) AS n,
+              unnest([array_to_string(w[k : k + least(len(w), 10) - 1], ' ')
+                      FOR k IN range(1, len(w) - least(len(w), 10) + 2)]) AS win
+       FROM i WHERE len(w) > 0),
+ns AS (SELECT DISTINCT n FROM iw),
+dp AS (SELECT r, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, ns WHERE len(w) >= n),
+dw AS (SELECT dp.r, n, k, array_to_string(w[k : k + n - 1], ' ') AS win FROM dp JOIN d USING (r)),
+h AS (SELECT r, k, n, item FROM dw JOIN iw USING (n, win)),
+hw AS (SELECT r, count(DISTINCT p) AS n_hit
+       FROM (SELECT r, unnest(range(k, k + n)) AS p FROM h) GROUP BY r),
+hi AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+       FROM (SELECT DISTINCT r, item FROM h) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hw USING (r) LEFT JOIN hi USING (r)
+""",
+    "op9_line_dedup": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                  string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT r, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM d),
+k AS (SELECT *, {_LOWER.format("trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} AS key FROM l),
+c AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 40 GROUP BY key
+      HAVING count(DISTINCT coalesce(doc_id::VARCHAR, '')) >= 5),
+m AS (SELECT k.*, c.key IS NOT NULL AND k.doc_id IS DISTINCT FROM c.last AS gone
+      FROM k LEFT JOIN c USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY r, doc_id
+""",
+    "op10_warc_round_trip": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, strlen(coalesce(html, '')) AS n FROM pages),
+f AS (SELECT h, max(page_id) AS first FROM p WHERE n >= 1000 GROUP BY h),
+m AS (SELECT p.*, CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers
+      FROM p LEFT JOIN f USING (h))
+SELECT page_id, n AS payload_bytes, sha1(h) AS payload_digest,
+       CASE WHEN refers IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+       refers AS refers_to
+FROM m
+""",
+}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import math
 import re
 
@@ -170,13 +172,17 @@ def scan(text: str) -> tuple[list, list]:
             for m in HEX.finditer(text, start, end)
             if m.end() - m.start() >= LEAST["hex"]
         ]
+    found.sort(key=lambda f: (f[0], f[2], f[1]))
+    starts = [start for start, _, _ in found]
+    reach = list(itertools.accumulate((end for _, end, _ in found), max))
     tested = []
     for start, end in runs_:
-        if not any(s < end and start < e for s, e, _ in found):
+        before = bisect.bisect_left(starts, end)
+        if not before or reach[before - 1] <= start:
             p = battery(text[start:end])
             if p is not None:
                 tested.append((start, end, p))
-    return sorted(found, key=lambda f: (f[0], f[2], f[1])), tested
+    return found, tested
 
 
 FOUND = (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections import Counter
 
@@ -111,9 +112,13 @@ class Templates:
         found.sort(key=lambda f: (-f[1], f[2], f[3], f[0]))
         taken: list[tuple[str, float, int, int]] = []
         for one in found:
-            if all(one[3] <= other[2] or other[3] <= one[2] for other in taken):
-                taken.append(one)
-        return sorted(taken, key=lambda f: f[2])
+            # None of those taken overlap, so only the neighbours can.
+            at = bisect.bisect_left(taken, one[2], key=lambda f: f[2])
+            if (at == 0 or taken[at - 1][3] <= one[2]) and (
+                at == len(taken) or one[3] <= taken[at][2]
+            ):
+                taken.insert(at, one)
+        return taken
 
     def _runs(self, units: list, first: int) -> list[tuple[str, float, int, int]]:
         """Matches of the runs that begin at a unit, as long as any template's bound allows."""

@@ -19,6 +19,7 @@ from tradewind.session import scratch_dir
 MIN_REVISIT_BYTES = 1000
 RANGE_BYTES = 16 * 1024 * 1024
 READ_BYTES = 1 << 20
+MEMBER_BYTES = 1 << 15
 # Enough of a member to see whether it begins as a WARC record does.
 PROBE_BYTES = 4096
 MAGIC = b"\x1f\x8b\x08"
@@ -166,29 +167,48 @@ def is_record(start: bytes) -> bool:
     return head.startswith(b"WARC/") and b"\r\n" in head
 
 
-def _find(stream, at: int, end: int) -> int | None:
+class Window:
+    """Reads a stream in large pieces and serves small ones from the last of them."""
+
+    def __init__(self, stream):
+        self.stream, self.at, self.data = stream, 0, b""
+
+    def read(self, at: int, n: int) -> bytes:
+        """Up to ``n`` bytes from an offset."""
+        off = at - self.at
+        if off < 0 or off + n > len(self.data):
+            self.stream.seek(at)
+            self.data, self.at, off = self.stream.read(max(n, READ_BYTES)), at, 0
+        return self.data[off : off + n]
+
+
+def _find(window: Window, at: int, end: int) -> int | None:
     """Offset of the first record's member that starts in [at, end)."""
+    # Mostly it follows at once, or after the padding.
+    next_to = window.read(at, PROBE_BYTES)
+    start = next_to.lstrip(b"\x00")
+    near = at + len(next_to) - len(start)
+    if near < end and is_record(start):
+        return near
     while at < end:
-        stream.seek(at)
         # Magic and probe may reach over the edge of what is read at a time.
-        piece = stream.read(READ_BYTES + PROBE_BYTES)
         stop = min(READ_BYTES, end - at)
+        piece = window.read(at, stop + PROBE_BYTES)
         place = piece.find(MAGIC)
         while 0 <= place < stop:
             if is_record(piece[place : place + PROBE_BYTES]):
                 return at + place
             place = piece.find(MAGIC, place + 1)
-        at += READ_BYTES
+        at += stop
     return None
 
 
-def _member(stream, at: int) -> tuple[bytes, int]:
+def _member(window: Window, at: int) -> tuple[bytes, int]:
     """The content of the member at an offset, and the offset behind it."""
-    stream.seek(at)
     unpack = zlib.decompressobj(31)
     parts = []
     while not unpack.eof:
-        piece = stream.read(READ_BYTES)
+        piece = window.read(at, MEMBER_BYTES)
         if not piece:
             raise ValueError(f"truncated gzip member at byte {at}")
         at += len(piece)
@@ -254,9 +274,10 @@ def _read_ranges(with_payload: bool, batch_bytes: int = 8 << 20):
         for batch in batches:
             for path, start, end in batch.itertuples(index=False):
                 with open_file(path) as stream:
+                    window = Window(stream)
                     rows, held, at = [], 0, start
-                    while (at := _find(stream, at, end)) is not None:
-                        raw, following = _member(stream, at)
+                    while at < end and (at := _find(window, at, end)) is not None:
+                        raw, following = _member(window, at)
                         row = _row(path, at, raw)
                         rows.append(row if with_payload else (*row[:-1], None))
                         held, at = held + len(raw), following

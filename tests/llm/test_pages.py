@@ -130,6 +130,8 @@ def test_very_long_pages():
     assert len(pages.common_lines(a, a[::-1])) > 0
     html = "<article>" + "<p>line &amp; text</p>" * 20_000 + "</article>"
     assert one(html).count("line & text") == 20_000
+    deep = "<article>" + "<div>x<span class=ad>y" * 20_000
+    assert one(deep).startswith("x")
 
 
 def test_query_on_given_pages(spark):

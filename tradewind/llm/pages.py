@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import os
 import re
+from collections import Counter
 from urllib.parse import urlsplit
 
 import numpy as np
@@ -77,19 +78,47 @@ def lines_of(page: str) -> list[tuple[int, str]]:
     """(kind, text) of all text lines of a page, in page order, white space made single."""
     out: list[tuple[int, str]] = []
     stack: list[tuple[str, bool, bool]] = []  # tag, furniture, main
+    # What is open, counted, so that deep nesting costs nothing more.
+    tags: Counter[str] = Counter()
+    inside = {"furniture": 0, "main": 0, "prose": 0}
+    unclosed: set[str] = set()
     parts: list[str] = []
     leaf, leaf_furniture = "", False
 
+    def count(entry: tuple[str, bool, bool], step: int) -> None:
+        tag, furniture, main = entry
+        tags[tag] += step
+        inside["furniture"] += step * furniture
+        inside["main"] += step * main
+        inside["prose"] += step * (tag in PROSE_TAGS)
+
+    def push(*entry) -> None:
+        stack.append(entry)
+        count(entry, 1)
+
+    def pop() -> str:
+        entry = stack.pop()
+        count(entry, -1)
+        return entry[0]
+
+    def after(tag: str, at: int, otherwise: int) -> int:
+        """Where the element that begins at an offset ends."""
+        end = None
+        if tag not in unclosed:
+            end = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(page, at)
+        if end is None:
+            unclosed.add(tag)
+        return end.end() if end else otherwise
+
     def flush() -> None:
         text = " ".join(html.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            main = any(m for _, _, m in stack)
-            if leaf_furniture or any(f for _, f, _ in stack):
+            if leaf_furniture or inside["furniture"]:
                 kind = FURNITURE
-            elif not main:
+            elif not inside["main"]:
                 kind = LOOSE
-            elif leaf in PROSE_TAGS or any(tag in PROSE_TAGS for tag, _, _ in stack):
+            elif leaf in PROSE_TAGS or inside["prose"]:
                 kind = PROSE
             else:
                 kind = BLOCK
@@ -111,8 +140,7 @@ def lines_of(page: str) -> list[tuple[int, str]]:
                 marks = _marks(token[3])
                 if marks & FURNITURE_WORDS:
                     # Furniture within a line: skipped up to its end tag.
-                    end = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(page, at)
-                    at = end.end() if end else at
+                    at = after(tag, at, at)
             continue
         closing = bool(token[1])
         if tag == "br":
@@ -124,19 +152,18 @@ def lines_of(page: str) -> list[tuple[int, str]]:
         if closing:
             if tag in LEAVES or tag == leaf:
                 leaf, leaf_furniture = "", False
-            elif any(tag == open_tag for open_tag, _, _ in stack):
-                while stack.pop()[0] != tag:
+            elif tags[tag]:
+                while pop() != tag:
                     pass
                 leaf, leaf_furniture = "", False
             continue
         if tag in RAW:
-            end = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(page, at)
-            at = end.end() if end else n
+            at = after(tag, at, n)
             continue
         if token[3].rstrip().endswith("/") and tag not in LEAVES:
             continue
         marks = _marks(token[3])
-        in_main = any(m for _, _, m in stack)
+        in_main = inside["main"] > 0
         furniture = bool(marks & FURNITURE_WORDS) or tag in FURNITURE_TAGS
         if not in_main:
             furniture |= tag == "header" or bool(marks & HEADER_WORDS)
@@ -144,16 +171,17 @@ def lines_of(page: str) -> list[tuple[int, str]]:
             leaf, leaf_furniture = tag, furniture and tag not in FURNITURE_TAGS
             continue
         if tag in ("html", "body"):
-            stack.clear()
+            while stack:
+                pop()
             leaf, leaf_furniture = "", False
             continue
         if tag in MAIN_TAGS and not in_main:
             # An unclosed menu or header before the article ends here.
             while stack and stack[-1][0] in ("nav", "header", "form", "ul", "head", "title"):
-                stack.pop()
+                pop()
             furniture = False
         leaf, leaf_furniture = "", False
-        stack.append((tag, furniture, tag in MAIN_TAGS or "main" in marks))
+        push(tag, furniture, tag in MAIN_TAGS or "main" in marks)
     flush()
     return out
 

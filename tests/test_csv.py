@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from tradewind.operators.aggregates import keep_first, row_order
 from tradewind.schemas import RAW_TABLES, RawTable
 from tradewind.sinks.tables import ParquetSink
-from tradewind.sources.csv import ingest, read_csv
+from tradewind.sources.csv import has_quoted_breaks, ingest, read_csv
 from tradewind.sources.tables import ParquetZone
 
 ITEMS = RAW_TABLES["raw_order_items"]
@@ -33,7 +33,7 @@ def test_columns_are_found_by_name_and_extras_pass_through(spark, tmp_path):
         "price,order_id,extra,order_item_id,product_id,seller_id,freight_value\n"
         '1.25,o1,"a, ""b""",1,p,s,0.5\nbad,o2,,2.0,p,s,7\n1,o3,x,2.5,p,s,\n',
     )
-    df = read_csv(spark, path, ITEMS)
+    df = read_csv(spark, path, ITEMS, on_bad_cells="count")
     assert df.columns[2] == "extra" and df.schema["price"].dataType == T.DecimalType(18, 4)
     rows = {r["order_id"]: r for r in df.collect()}
     assert rows["o1"]["extra"] == 'a, "b"' and rows["o1"]["price"] == Decimal("1.25")
@@ -63,9 +63,46 @@ def test_inferred_types(spark, tmp_path):
 
 
 def test_quoted_line_breaks(spark, tmp_path):
-    path = write(tmp_path / "p.csv", 'product_id,product_category_name\n1,"two\nlines"\n')
-    df = read_csv(spark, path, RAW_TABLES["raw_products"], multi_line=True)
-    assert df.first()["product_category_name"] == "two\nlines"
+    text = 'product_id,product_category_name\n1,"two\nlines"\n2,"say ""a"""\n'
+    path = write(tmp_path / "p.csv", text)
+    for options in ({}, {"multi_line": True}):
+        df = read_csv(spark, path, RAW_TABLES["raw_products"], **options)
+        assert [r[1] for r in df.collect()] == ["two\nlines", 'say "a"']
+    plain = write(tmp_path / "q.csv", 'product_id,product_category_name\n2,"say ""a"""\n')
+    assert has_quoted_breaks(spark, path) and not has_quoted_breaks(spark, plain)
+
+
+HEADER = "order_id,order_item_id,product_id,seller_id,price,freight_value"
+
+
+@pytest.mark.parametrize(
+    "column, cell",
+    [("price", "100000000000000.5"), ("price", "inf"), ("price", '"12,50"'), ("price", "1.23456"),
+     ("freight_value", "1.23456e0"), ("order_item_id", "3.0000001"), ("order_item_id", "x"),
+     ("order_item_id", "3000000000"), ("price", "-0.00001"), ("price", "1e-20")],
+)
+def test_bad_cells_fail_or_are_counted(spark, tmp_path, column, cell):
+    good = {"order_item_id": "3.0", "price": "1.2500", "freight_value": "1.5e1"}
+    row = good | {column: cell}
+    lines = [f"o,{r['order_item_id']},p,s,{r['price']},{r['freight_value']}" for r in (good, row)]
+    write(tmp_path / "i.csv", "\n".join([HEADER, *lines, "o,NA,p,s,nan,"]) + "\n")
+    sink = ParquetSink(ParquetZone(spark, str(tmp_path / "raw")))
+    manifest = {"i.csv": "raw_order_items"}
+    with pytest.raises(Exception, match=f"column {column}, bad cell"):
+        ingest(spark, str(tmp_path), sink, manifest)
+    found = ingest(spark, str(tmp_path), sink, manifest, on_bad_cells="count")
+    assert found == {"raw_order_items": 3}
+    assert found.bad_cells == {("raw_order_items", column): 1}
+    rows = sink.zone.table("raw_order_items").orderBy(F.col(column).desc_nulls_last()).collect()
+    assert [r[column] is None for r in rows] == [False, True, True]
+    assert rows[0]["order_item_id"] == 3 and rows[0]["freight_value"] == 15
+
+
+def test_undeclared_tables_come_in_inferred(spark, tmp_path):
+    write(tmp_path / "sellers.csv", "seller_id,score\n1,0.5\n2,\n")
+    sink = ParquetSink(ParquetZone(spark, str(tmp_path / "raw")))
+    assert ingest(spark, str(tmp_path), sink, {"sellers.csv": "raw_sellers"}) == {"raw_sellers": 2}
+    assert sink.zone.table("raw_sellers").dtypes == [("seller_id", "bigint"), ("score", "double")]
 
 
 def test_missing_column_is_named(spark, tmp_path):

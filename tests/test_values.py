@@ -69,7 +69,8 @@ def test_strict_timestamp(spark):
 @pytest.mark.parametrize(
     "text, number",
     [("3", 3), ("3.0", 3), ("-7.000", -7), ("3.5", None), ("x", None), (None, None),
-     ("9223372036854775807", 2**63 - 1), ("9223372036854775808", None), ("1e3", 1000)],
+     ("9223372036854775807", 2**63 - 1), ("9223372036854775808", None), ("1e3", 1000),
+     ("3.0000001", None), ("3.", 3), ("1.5e1", 15), ("1.55e1", None)],
 )
 def test_whole_number(spark, text, number):
     df = spark.createDataFrame([(text,)], "t string")

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings, safe to apply to a session somebody else created.
@@ -24,13 +27,13 @@ ROW_EXPANSION = 3
 UNKNOWN_BYTES = 2**62
 
 
-def shuffle_partitions_for(shuffled_bytes: int, most: int = 100_000) -> int:
-    """Partition count that keeps one shuffle partition near 128 MB.
+def shuffle_partitions_for(shuffled_bytes: int) -> int:
+    """Partition count that keeps one shuffle partition near 128 MB, without an upper limit.
 
     AQE merges partitions that turn out small but cannot split the ones of an
     aggregation, so the starting number must fit the largest shuffle of the job.
     """
-    return max(1, min(most, -(-shuffled_bytes // TARGET_PARTITION_BYTES)))
+    return max(1, -(-shuffled_bytes // TARGET_PARTITION_BYTES))
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -108,3 +111,28 @@ def drop_scratch(spark: SparkSession, folder: str) -> None:
         raise ValueError(f"not a scratch folder: {folder}")
     hadoop_path, file_system = _hadoop_path(spark, folder)
     file_system.delete(hadoop_path, True)
+
+
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below one; none where it does not exist."""
+    hadoop_path, file_system = _hadoop_path(spark, path)
+    if not file_system.exists(hadoop_path):
+        return []
+    found = file_system.listStatus(hadoop_path)
+    return [status.getPath().getName() for status in found if status.isDirectory()]
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder with all it holds."""
+    hadoop_path, file_system = _hadoop_path(spark, folder)
+    file_system.delete(hadoop_path, True)
+
+
+def in_parallel(spark: SparkSession, jobs: Iterable[Callable[[], object]], threads: int) -> list:
+    """Run independent Spark actions side by side, so small ones fill idle executors.
+
+    All are waited for; the first failure is raised afterwards.
+    """
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        futures = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+    return [future.result() for future in futures]

@@ -7,16 +7,14 @@ of its tables are complete, so a failed run leaves the last good tables visible.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Mapping
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.operators.ordering import in_report_order
 from tradewind.schemas import WAREHOUSE_COLUMNS
-from tradewind.session import path_exists
+from tradewind.session import child_folders, delete_folder, in_parallel, path_exists
 from tradewind.sinks.tables import JdbcSink, ParquetSink
 from tradewind.sources.tables import ParquetZone
 
@@ -26,16 +24,6 @@ def run_zone(spark: SparkSession, target: str, run_id: str) -> ParquetZone:
     return ParquetZone(spark, f"{target.rstrip('/')}/_runs/{run_id}")
 
 
-def in_parallel(spark: SparkSession, jobs: Iterable[Callable[[], object]], threads: int) -> list:
-    """Run independent Spark actions side by side, so small ones fill idle executors.
-
-    All are waited for; the first failure is raised afterwards.
-    """
-    with ThreadPoolExecutor(max_workers=threads) as pool:
-        futures = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
-    return [future.result() for future in futures]
-
-
 def write_tables(
     zone: ParquetZone, tables: Mapping[str, Callable[[], DataFrame]], threads: int = 4
 ) -> dict[str, int]:
@@ -96,3 +84,19 @@ def copy_to_database(spark: SparkSession, target: str, sink: JdbcSink) -> dict[s
     """Replace the database tables from the last published run, marts in report order."""
     tables = read_published(spark, target)
     return {name: sink.write(in_report_order(name, df), name) for name, df in tables.items()}
+
+
+def expire_runs(spark: SparkSession, target: str, keep: int) -> list[str]:
+    """Remove the folders of all but the newest ``keep`` runs; the removed ids.
+
+    Run ids begin with their start time. The published run stays whatever its age, also where
+    refreshes have stopped or failed since.
+    """
+    if keep < 0:
+        raise ValueError("keep is negative")
+    runs = sorted(child_folders(spark, f"{target.rstrip('/')}/_runs"))
+    spared = {*runs[len(runs) - keep :], published_run(spark, target)}
+    expired = [run_id for run_id in runs if run_id not in spared]
+    for run_id in expired:
+        delete_folder(spark, run_zone(spark, target, run_id).root)
+    return expired

@@ -5,13 +5,13 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradewind.functions.text import null_if_token, typed_cell, whole_number
+from tradewind.functions.text import checked, null_if_token, typed_cell, whole_number
 from tradewind.schemas import DEFAULT_MANIFEST, ORDINAL, RAW_TABLES, RawTable
-from tradewind.session import path_exists
+from tradewind.session import in_parallel, path_exists
 
 log = logging.getLogger(__name__)
 
@@ -41,21 +41,40 @@ def _guess_types(df: DataFrame, columns: list[str]) -> dict[str, T.DataType]:
     return types
 
 
+def has_quoted_breaks(spark: SparkSession, path: str) -> bool:
+    """Whether some line has an odd number of quotes, so that a record goes on past it.
+
+    One more pass over the text, ended by the first such line.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
     table: RawTable,
     *,
     infer_undeclared: bool = False,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
+    on_bad_cells: str = "fail",
+    bad_cells: Observation | None = None,
 ) -> DataFrame:
     """A CSV file with a header row as a typed table.
 
-    Columns are found by header name. Declared ones get their declared type, cells
-    that do not parse become null. Others pass through as text, or with
-    ``infer_undeclared`` as the type that one extra pass over them finds. Quoted
-    line breaks need ``multi_line``, which reads each file in a single task.
+    Columns are found by header name. Declared ones get their declared type. A cell that does
+    not fit it without loss (words, out of range, digits beyond the scale, a fraction in an
+    integer) fails the action that reads it; with ``on_bad_cells="count"`` it becomes null, and
+    ``bad_cells`` observes how many of each column did. Other columns pass through as text, or
+    with ``infer_undeclared`` as the type that one extra pass over them finds.
+
+    Records with quoted line breaks need ``multi_line``, which reads each file in a single
+    task. By default a pass over the text finds whether there are any.
     """
+    if multi_line is None:
+        multi_line = has_quoted_breaks(spark, path)
+        if multi_line:
+            log.warning("%s has quoted line breaks: each file is read by one task", path)
     # With enforceSchema off, files whose headers disagree are an error, not misread.
     text = spark.read.options(
         header=True, escape='"', multiLine=multi_line, enforceSchema=False
@@ -69,9 +88,13 @@ def read_csv(
     types = dict(declared)
     if infer_undeclared:
         types |= _guess_types(cells, [c for c in text.columns if c not in declared])
-    columns = [
-        typed_cell(F.col(f"`{name}`"), types.get(name, T.StringType())).alias(name)
+    typed = {
+        name: typed_cell(F.col(f"`{name}`"), types.get(name, T.StringType()))
         for name in text.columns
+    }
+    columns = [
+        checked(F.col(f"`{name}`"), value, name, on_bad_cells).alias(name)
+        for name, value in typed.items()
     ]
     if table.keeps_order:
         # Position of the row in its file: blocks by offset, rows by running id within.
@@ -81,7 +104,26 @@ def read_csv(
             F.monotonically_increasing_id().alias("row"),
         )
         columns.append(ordinal.alias(ORDINAL))
-    return cells.select(*columns)
+    if bad_cells is None:
+        return cells.select(*columns)
+    lost = {n: v for n, v in typed.items() if not isinstance(types.get(n), T.StringType | None)}
+    if not lost:
+        return cells.select(*columns)
+    flags = [
+        (F.col(f"`{name}`").isNotNull() & value.isNull()).alias(f"_bad_{i}")
+        for i, (name, value) in enumerate(lost.items())
+    ]
+    counts = [F.count_if(F.col(f"_bad_{i}")).alias(name) for i, name in enumerate(lost)]
+    flagged = cells.select(*columns, *flags).observe(bad_cells, *counts)
+    return flagged.drop(*[f"_bad_{i}" for i in range(len(lost))])
+
+
+class Ingested(dict[str, int]):
+    """Row counts by table; ``bad_cells`` counts the cells set to null, by table and column."""
+
+    def __init__(self, rows: Mapping[str, int], bad_cells: Mapping[tuple[str, str], int]):
+        super().__init__(rows)
+        self.bad_cells = dict(bad_cells)
 
 
 def ingest(
@@ -91,21 +133,42 @@ def ingest(
     manifest: Mapping[str, str] = DEFAULT_MANIFEST,
     *,
     on_missing: str = "skip",
+    on_bad_cells: str = "fail",
+    threads: int = 4,
     **options,
-) -> dict[str, int]:
-    """Load every file of the manifest into its raw table; row counts by table.
+) -> Ingested:
+    """Load every file of the manifest into its raw table, side by side.
 
-    A missing file is skipped with a warning, or raises with ``on_missing="fail"``.
+    A table that is not declared comes in with inferred types. A missing file is skipped with a
+    warning, or raises with ``on_missing="fail"``.
     """
-    counts = {}
+    present = {}
     for filename, name in manifest.items():
         path = f"{folder.rstrip('/')}/{filename}"
-        if not path_exists(spark, path):
-            if on_missing == "fail":
-                raise FileNotFoundError(path)
+        if path_exists(spark, path):
+            present[name] = path
+        elif on_missing == "fail":
+            raise FileNotFoundError(path)
+        else:
             log.warning("%s not found, skipped", path)
-            continue
-        counts[name] = sink.write(read_csv(spark, path, RAW_TABLES[name], **options), name)
-        log.info("%s: %d rows from %s", name, counts[name], filename)
-    return counts
 
+    def load(name: str, path: str) -> tuple[int, dict[str, int]]:
+        declared = RAW_TABLES.get(name)
+        seen = Observation() if on_bad_cells == "count" and declared else None
+        settings = {"infer_undeclared": declared is None} | options
+        table = declared or RawTable(T.StructType())
+        df = read_csv(
+            spark, path, table, on_bad_cells=on_bad_cells, bad_cells=seen, **settings
+        )
+        rows = sink.write(df, name)
+        numeric = declared and any(not isinstance(f.dataType, T.StringType) for f in table.schema)
+        found = {c: n for c, n in seen.get.items() if n} if seen and numeric else {}
+        log.info("%s: %d rows from %s; bad cells: %s", name, rows, path, found or "none")
+        return rows, found
+
+    jobs = [lambda n=n, p=p: load(n, p) for n, p in present.items()]
+    loaded = dict(zip(present, in_parallel(spark, jobs, threads)))
+    return Ingested(
+        {name: rows for name, (rows, _) in loaded.items()},
+        {(name, c): n for name, (_, found) in loaded.items() for c, n in found.items()},
+    )

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tradewind.session import path_exists
 
 
 @dataclass(frozen=True)
@@ -42,8 +45,62 @@ def query_tables(spark: SparkSession, sql: str, **tables: DataFrame) -> DataFram
     return spark.sql(sql, **tables)
 
 
+@dataclass(frozen=True)
+class LoadZone:
+    """Raw tables in load folders, of which readers see complete ones only.
+
+    A load writes its tables below ``<root>/_loads/<id>`` and is then entered in the log
+    ``<root>/_loaded``. A table is read from the last entered load that has it, so a load that
+    fails half way, or one that lacks a file, leaves the tables before it in place.
+    """
+
+    spark: SparkSession
+    root: str
+
+    def folder(self, load_id: str) -> ParquetZone:
+        return ParquetZone(self.spark, f"{self.root.rstrip('/')}/_loads/{load_id}")
+
+    def _log(self) -> str:
+        return f"{self.root.rstrip('/')}/_loaded"
+
+    def exists(self) -> bool:
+        return path_exists(self.spark, self._log())
+
+    def enter(self, load_id: str, tables: Iterable[str]) -> None:
+        """Make the tables of a complete load the ones that readers see."""
+        entry = self.spark.createDataFrame(
+            [(load_id, sorted(tables))], "load_id string, tables array<string>"
+        ).withColumn("loaded_at", F.current_timestamp())
+        entry.write.mode("append").parquet(self._log())
+
+    def table(self, name: str) -> DataFrame:
+        loads = self.spark.read.parquet(self._log()).filter(F.array_contains("tables", name))
+        last = loads.orderBy(F.desc("loaded_at"), F.desc("load_id")).first()
+        if last is None:
+            raise LookupError(f"no load under {self.root} has {name}")
+        return self.folder(last["load_id"]).table(name)
+
+
+def block_ranges(blocks: int, partitions: int) -> list[str]:
+    """Disjoint PostgreSQL conditions that split a table by its storage blocks.
+
+    Each reads its own blocks only. The last is open, for blocks added meanwhile; no row is
+    without a block, so all rows are read once.
+    """
+    each = max(1, -(-blocks // max(1, partitions)))
+    starts = list(range(0, max(1, blocks), each))
+    conditions = []
+    for i, start in enumerate(starts):
+        below = f" and ctid < '({starts[i + 1]},0)'::tid" if i + 1 < len(starts) else ""
+        conditions.append(f"ctid >= '({start},0)'::tid{below}")
+    return conditions
+
+
 def hash_predicates(key: str, partitions: int) -> list[str]:
-    """Disjoint PostgreSQL conditions that split a table by the hash of any key type."""
+    """Disjoint PostgreSQL conditions that split a table or view by the hash of any key type.
+
+    The database scans the whole table for each; :func:`block_ranges` is cheaper for tables.
+    """
     bucket = f"mod(abs(hashtext({key}::text)::bigint), {partitions})"
     first = f"({bucket} = 0 or {key} is null)"
     return [first] + [f"{bucket} = {i}" for i in range(1, partitions)]
@@ -53,18 +110,26 @@ def hash_predicates(key: str, partitions: int) -> list[str]:
 class JdbcZone:
     """Tables of a database reached over JDBC.
 
-    User, password and driver come from ``properties`` or from the environment
-    variables TRADEWIND_JDBC_USER and TRADEWIND_JDBC_PASSWORD, never from code.
-    ``split_by`` names the key that parallel readers of a table divide it by.
+    User, password and driver come from ``properties`` or from the environment variables
+    TRADEWIND_JDBC_USER and TRADEWIND_JDBC_PASSWORD, never from code.
+
+    Every table is read in ranges of storage blocks, as many as its size needs at
+    ``blocks_per_task`` blocks each; ``partitions`` sets another number for a table.
+    ``split_by`` names the key to divide a view by instead, which has no blocks, into its
+    ``partitions`` or ``view_partitions`` parts. ``write_partitions`` bounds the connections
+    that one table is written through.
     """
 
     spark: SparkSession
     url: str
     properties: Mapping[str, str] = field(default_factory=dict)
     split_by: Mapping[str, str] = field(default_factory=dict)
-    read_partitions: int = 32
+    partitions: Mapping[str, int] = field(default_factory=dict)
+    blocks_per_task: int = 16_384
+    view_partitions: int = 32
     fetch_size: int = 10_000
     batch_size: int = 1_000
+    write_partitions: int = 16
 
     def _secrets(self) -> dict[str, str]:
         found = {
@@ -77,15 +142,26 @@ class JdbcZone:
         return {"fetchsize": str(self.fetch_size)} | self._secrets()
 
     def write_properties(self) -> dict[str, str]:
-        return {"batchsize": str(self.batch_size)} | self._secrets()
+        sizes = {"batchsize": self.batch_size, "numPartitions": self.write_partitions}
+        return {name: str(size) for name, size in sizes.items()} | self._secrets()
 
-    def table(self, name: str) -> DataFrame:
+    def blocks(self, name: str) -> int:
+        """Storage blocks of a table, from the database's own books."""
+        sql = f"select pg_relation_size('{name}') / current_setting('block_size')::int as blocks"
+        return int(self.query(sql).first()["blocks"])
+
+    def conditions(self, name: str) -> list[str]:
+        """One condition per read task."""
         if name in self.split_by:
-            conditions = hash_predicates(self.split_by[name], self.read_partitions)
-            return self.spark.read.jdbc(
-                self.url, name, predicates=conditions, properties=self.read_properties()
-            )
-        return self.spark.read.jdbc(self.url, name, properties=self.read_properties())
+            parts = self.partitions.get(name, self.view_partitions)
+            return hash_predicates(self.split_by[name], parts)
+        blocks = self.blocks(name)
+        return block_ranges(blocks, self.partitions.get(name, -(-blocks // self.blocks_per_task)))
+
+    def table(self, name: str) -> DataFrame:
+        return self.spark.read.jdbc(
+            self.url, name, predicates=self.conditions(name), properties=self.read_properties()
+        )
 
     def query(self, sql: str) -> DataFrame:
         """Result of a statement that the database runs itself."""

@@ -93,7 +93,11 @@ class SmallSource:
 
 def small_inputs(spark, seed, duplicates=False):
     """Extracted inputs, and DuckDB with the same raw tables."""
-    rows = make_rows(seed, duplicates)
+    return inputs_of(spark, make_rows(seed, duplicates))
+
+
+def inputs_of(spark, rows):
+    """As :func:`small_inputs`, for given rows."""
     db = duckdb.connect()
     for name, schema in SCHEMAS.items():
         columns = schema.replace(" string", " varchar")

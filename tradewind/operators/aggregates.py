@@ -11,9 +11,17 @@ from tradewind.schemas import ORDINAL
 
 
 def row_order(df: DataFrame, *business_key: str) -> Column:
-    """The source row order where it was recorded, then the given columns."""
-    recorded = [name for name in df.columns if name == ORDINAL]
-    return F.struct(*recorded, *business_key)
+    """The source row order where it was recorded.
+
+    Elsewhere the given columns and then all others by name, nulls last, so that only rows
+    equal in every column tie.
+    """
+    if ORDINAL in df.columns:
+        return F.struct(ORDINAL)
+    others = sorted(name for name in df.columns if name not in business_key)
+    return F.struct(
+        *(part for name in (*business_key, *others) for part in (F.col(name).isNull(), F.col(name)))
+    )
 
 
 def first_present(value: str, order: Column) -> Column:

@@ -1,10 +1,10 @@
 """Left outer equi-joins.
 
-No broadcast hints on data that grows: Catalyst and AQE broadcast a side when its
-measured size is below ``spark.sql.autoBroadcastJoinThreshold``, and sort-merge
-beyond. A hot key on the *left* of a left join, null included, is split by AQE at
-run time. A hot key on the *right* cannot be, because every split would have to know
-whether another one matched; :func:`fan_out_join` is for that case.
+No broadcast hints: Catalyst and AQE broadcast a side when its measured size is below
+``spark.sql.autoBroadcastJoinThreshold``, and sort-merge beyond. A hot key on the *left* of a
+left join, null included, is split by AQE at run time. A hot key on the *right* cannot be,
+because every split would have to know whether another one matched; :func:`fan_out_join` is for
+that case.
 """
 
 from __future__ import annotations
@@ -12,48 +12,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_KEY_ROWS = 1_000_000
-
 
 def lookup_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Left outer join for an N:1 lookup; a null key matches nothing."""
     return left.join(right, key, "left")
 
 
-def hot_keys(df: DataFrame, key: str, rows_per_task: int) -> DataFrame:
-    """Keys with more than ``rows_per_task`` rows and the number of salts to spread them over.
-
-    There are fewer than ``rows / rows_per_task`` of them, however the data grows.
-    """
-    sizes = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    salts = F.ceil(F.col("_rows") / F.lit(rows_per_task)).cast("int")
-    return sizes.filter(F.col("_rows") > rows_per_task).select(key, salts.alias("_salts"))
-
-
-def fan_out_join(
-    left: DataFrame, right: DataFrame, key: str, rows_per_task: int = HOT_KEY_ROWS
-) -> DataFrame:
+def fan_out_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Left outer join for a 1:N fan-out where one key may hold most of the right side.
 
-    The right rows of a hot key are dealt out over several salts and its left rows
-    are copied once per salt. A copy whose salt got no right row is dropped again:
-    a hot key has matches, so its left rows are never unmatched. All other keys have
-    the one salt 0 and behave as in a plain left join.
-
-    Salts follow the row position, so that even identical rows are spread; ``right``
-    must be a stored table, whose rows a repeated task reads in the same order.
+    The matches come from an inner join, either side of which AQE can split, and the left rows
+    without any from an anti join, whose right side is each key once. Nothing depends on the
+    order or the number of rows.
     """
-    hot = F.broadcast(hot_keys(right, key, rows_per_task))
-    salts = F.coalesce("_salts", F.lit(1))
-    copied_left = left.join(hot, key, "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), salts - 1))
-    )
-    salt = F.pmod(F.monotonically_increasing_id(), salts.cast("bigint")).cast("int")
-    dealt_right = (
-        right.join(hot, key, "left")
-        .withColumns({"_salt": salt, "_matched": F.lit(True)})
-        .drop("_salts")
-    )
-    joined = copied_left.join(dealt_right, [key, "_salt"], "left")
-    whole = joined.filter(F.col("_matched").isNotNull() | F.col("_salts").isNull())
-    return whole.drop("_salt", "_salts", "_matched")
+    matched = left.join(right, key)
+    alone = left.join(right.select(key).distinct(), key, "left_anti")
+    others = {f.name: F.lit(None).cast(f.dataType) for f in right.schema if f.name != key}
+    return matched.unionByName(alone.withColumns(others))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from tradewind.operators.aggregates import payments_per_order
 from tradewind.operators.clean import with_revenue
-from tradewind.operators.joins import HOT_KEY_ROWS, fan_out_join, lookup_join
+from tradewind.operators.joins import fan_out_join, lookup_join
 from tradewind.schemas import ORDINAL
 
 
@@ -16,7 +16,6 @@ def master(
     items: DataFrame,
     products: DataFrame,
     payments: DataFrame,
-    rows_per_task: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Delivered orders with customer, items, product and payment, one row per item.
 
@@ -26,6 +25,6 @@ def master(
     """
     per_order = lookup_join(orders, payments_per_order(payments), "order_id")
     per_order = lookup_join(per_order, customers.drop(ORDINAL), "customer_id")
-    lines = fan_out_join(per_order, items.drop(ORDINAL), "order_id", rows_per_task)
+    lines = fan_out_join(per_order, items.drop(ORDINAL), "order_id")
     lines = lookup_join(lines, products.drop(ORDINAL), "product_id")
     return with_revenue(lines)

@@ -1,11 +1,11 @@
-"""The marts without the item-level join, for inputs with unique keys.
+"""The marts without the item-level join.
 
-The master table repeats every order on each of its items and then sums. When
-``order_id``, ``customer_id`` and ``product_id`` are unique in their tables the
-same numbers come from one row per order that carries its item count: items and
+The master table repeats every order on each of its items and then sums. The same
+numbers come from one row per order that carries its item count: items and
 payments are each reduced map-side by ``order_id`` (so a hot order is one row per
 task), and neither the wide table nor the product join is needed. Money stays
-decimal until the last step, so regrouping the sums changes no digit.
+decimal until the last step, so regrouping the sums changes no digit. Which keys
+have to be unique for each mart is in ``plans.warehouse.NEEDS``.
 """
 
 from __future__ import annotations
@@ -54,19 +54,28 @@ def order_totals(orders: DataFrame, items: DataFrame, payments: DataFrame) -> Da
 
 
 def daily_revenue(totals: DataFrame) -> DataFrame:
-    """As :func:`tradewind.plans.marts.daily_revenue`, from order totals."""
+    """As :func:`tradewind.plans.marts.daily_revenue`, from order totals.
+
+    Rows of one order and day are merged first, which counts a repeated order once. They lie
+    together already, since the totals are dealt out by order.
+    """
     paid_lines = F.when(F.col("payment_value").isNotNull(), F.col("line_count"))
-    paid = F.sum(F.col("payment_value") * F.col("line_count"))
-    summed = (
+    per_order = (
         keyed(totals, "order_date")
-        .groupBy("order_date")
+        .groupBy("order_id", "order_date")
         .agg(
-            F.count("order_id").alias("total_orders"),
-            F.sum("item_count").alias("total_items"),
-            sum_or_zero(F.col("revenue")).cast("double").alias("total_revenue"),
-            ratio(paid, F.sum(paid_lines)).alias("avg_order_value"),
+            F.sum("item_count").alias("items"),
+            F.sum("revenue").alias("revenue"),
+            F.sum(F.col("payment_value") * F.col("line_count")).alias("paid"),
+            F.sum(paid_lines).alias("paid_lines"),
         )
     )
+    summed = per_order.groupBy("order_date").agg(
+        F.count("order_id").alias("total_orders"),
+        F.sum("items").alias("total_items"),
+        sum_or_zero(F.col("revenue")).cast("double").alias("total_revenue"),
+        ratio(F.sum("paid"), F.sum("paid_lines")).alias("avg_order_value"),
+    )
     return rounded("daily_revenue", summed)
 
 
@@ -102,13 +111,18 @@ def customer_summary(totals: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def top_products(orders: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
-    """As :func:`tradewind.plans.marts.top_products`, summed by product before the lookup."""
-    sold = keyed(items, "product_id").join(orders.select("order_id"), "order_id", "left_semi")
+    """As :func:`tradewind.plans.marts.top_products`, summed by product before the lookup.
+
+    An item counts as often as its order has rows; a repeated product repeats its sums.
+    """
+    header = keyed(orders, "order_id").groupBy("order_id").agg(F.count(F.lit(1)).alias("times"))
+    sold = keyed(items, "product_id").join(header, "order_id")
+    times = F.col("times")
     per_product = sold.groupBy("product_id").agg(
-        F.count("order_item_id").alias("items"),
-        F.sum(line_revenue()).alias("revenue"),
-        F.sum("price").alias("price_sum"),
-        F.count("price").alias("price_count"),
+        F.sum(F.when(F.col("order_item_id").isNotNull(), times).otherwise(0)).alias("items"),
+        F.sum(line_revenue() * times).alias("revenue"),
+        F.sum(F.col("price") * times).alias("price_sum"),
+        F.sum(F.when(F.col("price").isNotNull(), times).otherwise(0)).alias("price_count"),
     )
     named = lookup_join(per_product, products.select(*PRODUCT_KEYS), "product_id")
     avg_price = ratio(F.sum("price_sum"), F.sum("price_count"))

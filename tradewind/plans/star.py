@@ -25,10 +25,14 @@ def item_lines(items: DataFrame, orders: DataFrame, products: DataFrame) -> Data
     return with_revenue(lines).select(*WAREHOUSE_COLUMNS["fact_order_items"])
 
 
+def delivered_money(lines: DataFrame) -> DataFrame:
+    """Item lines with money as double, as the fact delivers it."""
+    return lines.withColumns({name: F.col(name).cast("double") for name in FACT_MONEY})
+
+
 def fact_order_items(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
-    """The fact table, money as double."""
-    doubles = {name: F.col(name).cast("double") for name in FACT_MONEY}
-    return item_lines(items, orders, products).withColumns(doubles)
+    """The fact table."""
+    return delivered_money(item_lines(items, orders, products))
 
 
 def dim_customers(customers: DataFrame) -> DataFrame:

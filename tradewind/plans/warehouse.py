@@ -26,17 +26,35 @@ class UniqueKeys:
         return self.orders and self.customers and self.products
 
 
-def measure_keys(orders: DataFrame, customers: DataFrame, products: DataFrame) -> UniqueKeys:
-    """Check the three join keys over all rows, in one job that returns three numbers."""
-    tables = {"orders": (orders, "order_id"), "customers": (customers, "customer_id"),
-              "products": (products, "product_id")}
+# Lookup tables whose keys must be unique for the rollup form of a mart. The other tables may
+# repeat keys: the rollups count them as the master table does.
+NEEDS = {
+    "daily_revenue": ("customers", "products"),
+    "top_products": ("customers",),
+    "customer_summary": ("orders", "customers", "products"),
+}
+
+
+def count_duplicates(**keyed_tables: tuple[DataFrame, str]) -> dict[str, int]:
+    """Number of keys that repeat, by table, in one job over all rows."""
     checks = None
-    for name, (df, key) in tables.items():
+    for name, (df, key) in keyed_tables.items():
         per_key = keyed(df.select(key), key).groupBy(key).count()
-        check = per_key.agg(F.max("count").alias("most")).select(F.lit(name).alias("name"), "most")
+        check = per_key.agg(F.count_if(F.col("count") > 1).alias("n")).select(
+            F.lit(name).alias("name"), "n"
+        )
         checks = check if checks is None else checks.union(check)
-    most = {row["name"]: row["most"] or 0 for row in checks.collect()}
-    return UniqueKeys(**{name: most[name] <= 1 for name in tables})
+    return {row["name"]: row["n"] for row in checks.collect()}
+
+
+def measure_keys(orders: DataFrame, customers: DataFrame, products: DataFrame) -> UniqueKeys:
+    """Check the three join keys over all rows, in one job that returns three numbers."""
+    found = count_duplicates(
+        orders=(orders, "order_id"),
+        customers=(customers, "customer_id"),
+        products=(products, "product_id"),
+    )
+    return UniqueKeys(**{name: n == 0 for name, n in found.items()})
 
 
 def builders(
@@ -44,14 +62,22 @@ def builders(
 ) -> dict[str, Callable[[], DataFrame]]:
     """How to build each of the eight warehouse tables from the five extracted inputs.
 
-    With unique keys the marts come from order totals, otherwise from the master
-    table; the results are the same. ``keys=None`` measures the keys first.
+    The three marts over items come from rollups where the lookup tables in ``NEEDS`` have
+    unique keys, otherwise from the master table; the results are the same. ``keys=None``
+    measures the keys that a mart needs when it is built, each table at most once.
     """
     orders = clean_orders(data["orders"])
     customers, items = data["customers"], data["order_items"]
     products, payments = data["products"], data["payments"]
-    if keys is None:
-        keys = measure_keys(orders, customers, products)
+    lookups = {"orders": (orders, "order_id"), "customers": (customers, "customer_id"),
+               "products": (products, "product_id")}
+    known = {} if keys is None else {name: getattr(keys, name) for name in lookups}
+
+    def unique(mart: str) -> bool:
+        missing = {name: lookups[name] for name in NEEDS[mart] if name not in known}
+        if missing:
+            known.update({name: n == 0 for name, n in count_duplicates(**missing).items()})
+        return all(known[name] for name in NEEDS[mart])
 
     def totals() -> DataFrame:
         return rollups.order_totals(orders, items, payments)
@@ -59,19 +85,25 @@ def builders(
     def wide() -> DataFrame:
         return master(orders, customers, items, products, payments)
 
-    if keys.all_hold:
-        tables = {
-            "daily_revenue": lambda: rollups.daily_revenue(totals()),
-            "top_products": lambda: rollups.top_products(orders, items, products),
-            "customer_summary": lambda: rollups.customer_summary(totals(), customers),
-        }
-    else:
-        tables = {
-            "daily_revenue": lambda: marts.daily_revenue(wide()),
-            "top_products": lambda: marts.top_products(wide()),
-            "customer_summary": lambda: marts.customer_summary(wide()),
-        }
-    return tables | {
+    def daily_revenue() -> DataFrame:
+        if unique("daily_revenue"):
+            return rollups.daily_revenue(totals())
+        return marts.daily_revenue(wide())
+
+    def top_products() -> DataFrame:
+        if unique("top_products"):
+            return rollups.top_products(orders, items, products)
+        return marts.top_products(wide())
+
+    def customer_summary() -> DataFrame:
+        if unique("customer_summary"):
+            return rollups.customer_summary(totals(), customers)
+        return marts.customer_summary(wide())
+
+    return {
+        "daily_revenue": daily_revenue,
+        "top_products": top_products,
+        "customer_summary": customer_summary,
         "delivery_performance": lambda: marts.delivery_performance(orders, customers),
         "fact_order_items": lambda: star.fact_order_items(items, orders, products),
         "dim_customers": lambda: star.dim_customers(customers),
@@ -81,5 +113,9 @@ def builders(
 
 
 def transform(data: dict[str, DataFrame], keys: UniqueKeys | None = None) -> dict[str, DataFrame]:
-    """The eight warehouse tables from the five extracted inputs, lazily."""
+    """The eight warehouse tables from the five extracted inputs.
+
+    All plans are lazy; without ``keys``, planning the marts over items runs jobs that count
+    repeated keys.
+    """
     return {name: build() for name, build in builders(data, keys).items()}

@@ -24,6 +24,7 @@ def _struct(**columns: T.DataType) -> T.StructType:
 
 _TEXT = T.StringType()
 
+# The raw tables and their columns.
 RAW_TABLES: dict[str, RawTable] = {
     "raw_orders": RawTable(
         _struct(

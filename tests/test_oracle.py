@@ -4,13 +4,17 @@ import pytest
 from conftest import TESTDATA, oracle_rows, rows_of
 
 import __spark_entry__ as contract
+from tradewind.catalogue import oracle
+from tradewind.catalogue import queries as catalogue
 
-QUERIES = contract.queries()
-ORACLE = contract.oracle_sql()
+QUERIES = catalogue.queries()
+ORACLE = oracle.oracle_sql()
 
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert QUERIES.items() <= contract.queries().items()
+    assert ORACLE.items() <= contract.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

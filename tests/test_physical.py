@@ -6,9 +6,10 @@ import pytest
 from conftest import TESTDATA
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
+from tradewind.catalogue import queries as catalogue
 from tradewind.catalogue.fixtures import GivenTables
 from tradewind.operators.clean import clean_orders
+from tradewind.operators.joins import fan_out_join
 from tradewind.plans import marts, rollups, star
 from tradewind.sinks.tables import ParquetSink
 from tradewind.sources.extract import extract
@@ -95,10 +96,34 @@ def test_hot_item_key_is_split_at_run_time(spark, data, no_broadcast, conf, key)
     assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+def test_hot_order_is_split_at_run_time(spark, data, no_broadcast, conf):
+    """In the fan-out join, where the items are on the right."""
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "40KB")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20KB")
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
+    hot = clean_orders(data["orders"]).agg(F.min("order_id")).first()[0]
+    key = F.expr(f"if(order_item_id % 3 = 0, {hot}, order_id)")
+    items = data["order_items"].withColumn("order_id", key).repartition(8)
+    orders = clean_orders(data["orders"]).select("order_id", "customer_id")
+    joined = fan_out_join(orders, items, "order_id")
+    summed = joined.agg(F.bit_xor(F.xxhash64(*joined.columns)), F.count("order_item_id"))
+    assert summed.collect()[0][1] > 0
+    assert "skew=true" in summed._jdf.queryExecution().executedPlan().toString()
+
+
+def test_fan_out_counts_no_items(data, no_broadcast):
+    orders = clean_orders(data["orders"])
+    text = plan(fan_out_join(orders, data["order_items"], "order_id"), "simple")
+    assert "count(" not in text and "Broadcast" not in text
+
+
+LISTS = {"a9_row_counts", "s1_bad_cells"}
+
+
+@pytest.mark.parametrize("name", sorted(catalogue.queries()))
 def test_no_cross_join_and_no_python_in_plans(spark, name):
-    if name in {"a9_row_counts", "b1_refresh", "b2_run_report", "s2_ingest_manifest",
-                "s3_skip_missing", "s8_publish"}:
-        pytest.skip("result is a list of counts")
-    text = plan(contract.queries()[name](spark, str(TESTDATA / "sf0.001")), "extended")
+    if name in LISTS or name.startswith(("b1_", "b2_", "s2_", "s3_", "s8_", "q1_")):
+        pytest.skip("result is a list of counts or a stored table")
+    text = plan(catalogue.queries()[name](spark, str(TESTDATA / "sf0.001")), "extended")
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|Python|Pandas", text)

@@ -59,6 +59,11 @@ _PAYMENTS = (
     " as payment_value",
     "struct(l_linenumber, l_partkey, l_suppkey, l_extendedprice) as _ord",
 )
+_SELLERS = (
+    "s_suppkey as seller_id",
+    "s_name as seller_name",
+    "cast(s_nationkey as bigint) as seller_nation",
+)
 # SMALL and STANDARD have no translation.
 _TRANSLATION = """
     select * from values
@@ -75,6 +80,7 @@ _GIVEN_SCHEMAS = {
     "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
     "nation": "n_nationkey int, n_name string",
     "part": "p_partkey bigint, p_type string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
     " l_extendedprice double, l_tax double, l_returnflag string",
 }
@@ -104,6 +110,8 @@ class GivenTables:
             return self._given("part").selectExpr(*_PRODUCTS)
         if name == "raw_order_payments":
             return self._given("lineitem").selectExpr(*_PAYMENTS)
+        if name == "raw_sellers":
+            return self._given("supplier").selectExpr(*_SELLERS)
         if name == "raw_category_translation":
             return self.spark.sql(_TRANSLATION)
         raise KeyError(name)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tradewind.schemas import ORDER_TIMESTAMPS, RAW_TABLES, WAREHOUSE_COLUMNS
+
 
 def _shifted(seconds: str) -> str:
     return f"strftime(o_orderdate + to_seconds({seconds}), '%Y-%m-%d %H:%M:%S')"
@@ -15,14 +17,7 @@ def _parsed(name: str) -> str:
     return f"try_strptime({name}, '%Y-%m-%d %H:%M:%S') AS {name}"
 
 
-_TIMESTAMPS = (
-    "order_purchase_timestamp",
-    "order_approved_at",
-    "order_delivered_carrier_date",
-    "order_delivered_customer_date",
-    "order_estimated_delivery_date",
-)
-_PARSED = ", ".join(_parsed(name) for name in _TIMESTAMPS)
+_PARSED = ", ".join(_parsed(name) for name in ORDER_TIMESTAMPS)
 
 # Named subqueries in dependency order.
 CTES: dict[str, str] = {
@@ -152,10 +147,13 @@ CTES: dict[str, str] = {
         SELECT customer_id, customer_unique_id, customer_city, customer_state,
           customer_zip_code_prefix
         FROM raw_customers
-        QUALIFY row_number() OVER (PARTITION BY customer_unique_id ORDER BY customer_id) = 1""",
+        QUALIFY row_number() OVER (PARTITION BY customer_unique_id ORDER BY customer_id NULLS LAST,
+          customer_city NULLS LAST, customer_state NULLS LAST,
+          customer_zip_code_prefix NULLS LAST) = 1""",
     "dim_products": """
         SELECT product_id, category_english FROM products
-        QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY category_english) = 1""",
+        QUALIFY row_number() OVER (PARTITION BY product_id
+          ORDER BY category_english NULLS LAST) = 1""",
     "spine": """
         SELECT CAST(unnest(generate_series(min(order_purchase_timestamp),
           max(order_purchase_timestamp), INTERVAL 1 DAY)) AS DATE) AS date
@@ -176,16 +174,6 @@ def with_ctes(select: str) -> str:
     return f"WITH {named}\n{select}"
 
 
-_RAW_TABLES = (
-    "raw_orders", "raw_customers", "raw_order_items", "raw_products", "raw_order_payments",
-    "raw_category_translation",
-)
-_WAREHOUSE = (
-    "daily_revenue", "top_products", "customer_summary", "delivery_performance",
-    "fact_order_items", "dim_customers", "dim_products", "dim_date",
-)
-
-
 def row_counts(tables: tuple[str, ...]) -> str:
     """Row count of each named subquery."""
     return " UNION ALL ".join(
@@ -208,6 +196,18 @@ def _orphans(column: str, dimension: str, key: str) -> str:
     )
 
 
+def _duplicate_inputs(label: str, name: str, key: str) -> str:
+    return (
+        f"SELECT 'duplicate {label}' AS check_name, count(*) AS violations FROM"
+        f" (SELECT {key} FROM {name} WHERE {key} IS NOT NULL GROUP BY {key} HAVING count(*) > 1)"
+    )
+
+
+_ORPHANS = [
+    _orphans("product_id", "dim_products", "product_id"),
+    _orphans("customer_id", "dim_customers", "customer_id"),
+    _orphans("order_date", "dim_date", "date"),
+]
 _CHECKS = " UNION ALL ".join(
     [
         _duplicates("daily_revenue", "order_date"),
@@ -218,9 +218,7 @@ _CHECKS = " UNION ALL ".join(
         _duplicates("dim_customers", "customer_unique_id"),
         _duplicates("dim_products", "product_id"),
         _duplicates("dim_date", "date"),
-        _orphans("product_id", "dim_products", "product_id"),
-        _orphans("customer_id", "dim_customers", "customer_id"),
-        _orphans("order_date", "dim_date", "date"),
+        *_ORPHANS,
     ]
 )
 
@@ -240,8 +238,31 @@ SELECTS: dict[str, str] = {
           CAST(price AS DOUBLE) AS price, CAST(freight_value AS DOUBLE) AS freight_value
         FROM raw_order_items""",
     "s1_csv_inferred": "SELECT product_id, product_category_name FROM raw_products",
-    "s2_ingest_manifest": row_counts(_RAW_TABLES),
-    "s3_skip_missing": row_counts(tuple(t for t in _RAW_TABLES if t != "raw_order_payments")),
+    "s1_quoted_breaks": """
+        SELECT CAST(product_id AS VARCHAR) AS product_id,
+          replace(product_category_name, ' ', chr(10)) AS product_category_name
+        FROM raw_products""",
+    "s1_bad_cells": " UNION ALL ".join(
+        f"SELECT 'raw_order_items' AS table_name, '{column}' AS column_name,"
+        f" count(*) AS bad_cells FROM raw_order_items WHERE order_id % {n} = 0"
+        for column, n in (("price", 101), ("freight_value", 103), ("order_item_id", 107))
+    ),
+    "s2_orders": """
+        SELECT * REPLACE (CAST(order_id AS VARCHAR) AS order_id,
+          CAST(customer_id AS VARCHAR) AS customer_id) FROM raw_orders""",
+    "s2_customers": """
+        SELECT * REPLACE (CAST(customer_id AS VARCHAR) AS customer_id,
+          CAST(customer_unique_id AS VARCHAR) AS customer_unique_id,
+          CAST(customer_zip_code_prefix AS VARCHAR) AS customer_zip_code_prefix)
+        FROM raw_customers""",
+    "s2_payments": f"""
+        SELECT * REPLACE (CAST(order_id AS VARCHAR) AS order_id)
+        FROM (SELECT {_PAYMENT_COLUMNS} FROM raw_order_payments)""",
+    "s2_any_manifest": """
+        SELECT s_suppkey AS seller_id, s_name AS seller_name,
+          CAST(s_nationkey AS BIGINT) AS seller_nation FROM supplier""",
+    "s2_ingest_manifest": row_counts(tuple(RAW_TABLES)),
+    "s3_skip_missing": row_counts(tuple(t for t in RAW_TABLES if t != "raw_order_payments")),
     "s4_raw_replace": f"SELECT {_PAYMENT_COLUMNS} FROM raw_order_payments",
     "s5_orders_scan": "SELECT * FROM raw_orders",
     "s5_customers_scan": "SELECT * FROM raw_customers",
@@ -250,7 +271,7 @@ SELECTS: dict[str, str] = {
     "s6_products_query": "SELECT * FROM products",
     "s6_products_sql": "SELECT * FROM products",
     "s7_warehouse_replace": "SELECT * FROM delivery_performance",
-    "s8_publish": row_counts(_WAREHOUSE),
+    "s8_publish": row_counts(tuple(WAREHOUSE_COLUMNS)),
     "s11_extract_bundle": """
         SELECT 'orders' AS table_name, count(*) AS row_count FROM raw_orders
         UNION ALL SELECT 'customers', count(*) FROM raw_customers
@@ -309,8 +330,15 @@ SELECTS: dict[str, str] = {
         SELECT min(order_purchase_timestamp) AS min_ts, max(order_purchase_timestamp) AS max_ts
         FROM clean_orders""",
     "a7_dedupe_customers": "SELECT * FROM dim_customers",
+    "a7_first_by_recorded_order": """
+        SELECT * FROM raw_customers
+        QUALIFY row_number() OVER (PARTITION BY customer_unique_id ORDER BY customer_id DESC) = 1""",
     "a8_dedupe_products": "SELECT * FROM dim_products",
-    "a9_row_counts": row_counts(_WAREHOUSE),
+    "a8_dedupe_repeated_products": """
+        SELECT product_id % 97 AS product_id, category_english FROM products
+        QUALIFY row_number() OVER (PARTITION BY product_id % 97
+          ORDER BY category_english NULLS LAST) = 1""",
+    "a9_row_counts": row_counts(tuple(WAREHOUSE_COLUMNS)),
     "o1_sorted_by_date": "SELECT * FROM daily_revenue ORDER BY order_date",
     "o2_sorted_by_revenue": "SELECT * FROM top_products ORDER BY total_revenue DESC, product_id",
     "o3_sorted_by_spending": """
@@ -344,11 +372,20 @@ SELECTS: dict[str, str] = {
     "t6_dim_customers": "SELECT * FROM dim_customers",
     "t7_dim_products": "SELECT * FROM dim_products",
     "t8_dim_date": "SELECT * FROM dim_date",
-    "b1_refresh": row_counts(_WAREHOUSE),
+    "b1_refresh": row_counts(tuple(WAREHOUSE_COLUMNS)),
     "b2_run_report": f"""
-        SELECT table_name, row_count, 'succeeded' AS status FROM ({row_counts(_WAREHOUSE)})""",
+        SELECT table_name, row_count, 'succeeded' AS status FROM ({row_counts(tuple(WAREHOUSE_COLUMNS))})""",
+    "b2_run_checks": " UNION ALL ".join(
+        [
+            _duplicate_inputs("orders", "clean_orders", "order_id"),
+            _duplicate_inputs("customers", "raw_customers", "customer_id"),
+            _duplicate_inputs("products", "products", "product_id"),
+            _duplicates("fact_order_items", "order_id, order_item_id"),
+            *_ORPHANS,
+        ]
+    ),
     "q1_key_checks": _CHECKS,
-}
+} | {f"b1_{name}": f"SELECT * FROM {name}" for name in WAREHOUSE_COLUMNS}
 
 
 def oracle_sql() -> dict[str, str]:

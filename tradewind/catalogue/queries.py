@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tradewind.catalogue.fixtures import GivenTables, given_inputs
 from tradewind.functions.numbers import round_half_even
-from tradewind.job import Config, run
+from tradewind.job import Config, load_csv, run
 from tradewind.operators import clean
 from tradewind.operators.aggregates import (
     keep_first,
@@ -26,13 +26,13 @@ from tradewind.plans import marts, star
 from tradewind.plans.master import master
 from tradewind.plans.warehouse import builders, transform
 from tradewind.quality import check_keys
-from tradewind.schemas import ORDINAL, RAW_TABLES, RawTable
+from tradewind.schemas import ORDINAL, RAW_TABLES, WAREHOUSE_COLUMNS, RawTable
 from tradewind.session import configure, fit_shuffles, scratch_dir
 from tradewind.sinks.publish import publish, read_published
 from tradewind.sinks.tables import ParquetSink
 from tradewind.sources.csv import ingest, read_csv
 from tradewind.sources.extract import extract
-from tradewind.sources.tables import ParquetZone, query_tables
+from tradewind.sources.tables import LoadZone, ParquetZone, query_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -106,20 +106,34 @@ def _row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-def _write_csv(spark: SparkSession, sf_dir: str, names: list[str]) -> str:
+def _write_csv(spark: SparkSession, tables: dict[str, DataFrame]) -> str:
     """Write raw tables as CSV folders for the CSV readers to load."""
     folder = scratch_dir(spark, "csv")
-    for name in names:
-        raw = _raw(spark, sf_dir, name).drop(ORDINAL)
-        raw.write.option("header", True).csv(f"{folder}/{name}.csv")
+    for name, raw in tables.items():
+        raw.drop(ORDINAL).write.options(header=True, escape='"').csv(f"{folder}/{name}.csv")
     return folder
 
 
+def _load(spark: SparkSession, tables: dict[str, DataFrame], names: list[str]) -> LoadZone:
+    """Raw tables by way of CSV files and a load of the named ones."""
+    folder = _write_csv(spark, tables)
+    root = scratch_dir(spark, "raw")
+    load_csv(spark, folder, root, manifest={f"{name}.csv": name for name in names})
+    return LoadZone(spark, root)
+
+
 def _ingested(spark: SparkSession, sf_dir: str, present: list[str]) -> dict[str, DataFrame]:
-    folder = _write_csv(spark, sf_dir, present)
-    zone = ParquetZone(spark, scratch_dir(spark, "raw"))
-    loaded = ingest(spark, folder, ParquetSink(zone), {f"{name}.csv": name for name in RAW_TABLES})
-    return {name: zone.table(name) for name in loaded}
+    zone = _load(spark, {n: _raw(spark, sf_dir, n) for n in present}, list(RAW_TABLES))
+    return {name: zone.table(name) for name in present}
+
+
+def _published(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """What readers see after a run of the job."""
+    target = scratch_dir(spark, "warehouse")
+    report = run(spark, GivenTables(spark, sf_dir), Config(target))
+    if not report.succeeded:
+        raise RuntimeError(report.error)
+    return read_published(spark, target)
 
 
 # --- sources and sinks
@@ -127,22 +141,72 @@ def _ingested(spark: SparkSession, sf_dir: str, present: list[str]) -> dict[str,
 
 @query
 def s1_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = _write_csv(spark, sf_dir, ["raw_order_items"])
+    folder = _write_csv(spark, {"raw_order_items": _raw(spark, sf_dir, "raw_order_items")})
     return _doubles(read_csv(spark, f"{folder}/raw_order_items.csv", RAW_TABLES["raw_order_items"]))
 
 
 @query
 def s1_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = _write_csv(spark, sf_dir, ["raw_products"])
+    folder = _write_csv(spark, {"raw_products": _raw(spark, sf_dir, "raw_products")})
     undeclared = RawTable(T.StructType())
     return read_csv(spark, f"{folder}/raw_products.csv", undeclared, infer_undeclared=True)
 
 
+@query
+def s1_quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    broken = F.regexp_replace("product_category_name", " ", "\n")
+    products = _raw(spark, sf_dir, "raw_products").withColumn("product_category_name", broken)
+    folder = _write_csv(spark, {"raw_products": products})
+    table = RAW_TABLES["raw_products"]
+    return read_csv(spark, f"{folder}/raw_products.csv", table).drop(ORDINAL)
+
+
+@query
+def s1_bad_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells that do not fit their type, spoilt by rule: words, too many decimals, a fraction."""
+    spoilt = {"price": (101, "12,50"), "freight_value": (103, "1.23456"),
+              "order_item_id": (107, "2.5")}
+    items = _raw(spark, sf_dir, "raw_order_items").withColumns(
+        {
+            name: F.when(F.col("order_id") % n == 0, text).otherwise(F.col(name).cast("string"))
+            for name, (n, text) in spoilt.items()
+        }
+    )
+    folder = _write_csv(spark, {"raw_order_items": items})
+    sink = ParquetSink(ParquetZone(spark, scratch_dir(spark, "raw")))
+    manifest = {"raw_order_items.csv": "raw_order_items"}
+    found = ingest(spark, folder, sink, manifest, on_bad_cells="count").bad_cells
+    rows = [(table, column, n) for (table, column), n in found.items()]
+    return spark.createDataFrame(rows, "table_name string, column_name string, bad_cells bigint")
+
+
 @query
 def s2_ingest_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _row_counts(_ingested(spark, sf_dir, list(RAW_TABLES)))
 
 
+@query
+def s2_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ingested(spark, sf_dir, ["raw_orders"])["raw_orders"]
+
+
+@query
+def s2_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ingested(spark, sf_dir, ["raw_customers"])["raw_customers"].drop(ORDINAL)
+
+
+@query
+def s2_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _doubles(_ingested(spark, sf_dir, ["raw_order_payments"])["raw_order_payments"])
+
+
+@query
+def s2_any_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that is not declared, with inferred types."""
+    sellers = _raw(spark, sf_dir, "raw_sellers")
+    return _load(spark, {"raw_sellers": sellers}, ["raw_sellers"]).table("raw_sellers")
+
+
 @query
 def s3_skip_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     present = [name for name in RAW_TABLES if name != "raw_order_payments"]
@@ -380,12 +444,28 @@ def a7_dedupe_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keep_first(customers, "customer_unique_id", row_order(customers, "customer_id"))
 
 
+@query
+def a7_first_by_recorded_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers whose recorded order runs against their keys."""
+    customers = _raw(spark, sf_dir, "raw_customers").withColumn(ORDINAL, -F.col("customer_id"))
+    return keep_first(customers, "customer_unique_id", row_order(customers, "customer_id"))
+
+
 @query
 def a8_dedupe_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     products = given_inputs(spark, sf_dir)["products"].select("product_id", "category_english")
     return keep_first(products, "product_id", row_order(products, "category_english"))
 
 
+@query
+def a8_dedupe_repeated_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products whose ids do repeat, some without a category."""
+    products = given_inputs(spark, sf_dir)["products"].select(
+        (F.col("product_id") % 97).alias("product_id"), "category_english"
+    )
+    return star.dim_products(products)
+
+
 @query
 def a9_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     zone = ParquetZone(spark, scratch_dir(spark, "counts"))
@@ -528,11 +608,21 @@ def t8_dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def b1_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = scratch_dir(spark, "warehouse")
-    report = run(spark, GivenTables(spark, sf_dir), Config(target))
-    if not report.succeeded:
-        raise RuntimeError(report.error)
-    return _row_counts(read_published(spark, target))
+    return _row_counts(_published(spark, sf_dir))
+
+
+def _register_published(name: str) -> None:
+    """A query that returns the rows of one table as the job publishes it."""
+
+    def published(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _published(spark, sf_dir)[name]
+
+    published.__name__ = f"b1_{name}"
+    query(published)
+
+
+for _name in WAREHOUSE_COLUMNS:
+    _register_published(_name)
 
 
 @query
@@ -543,6 +633,14 @@ def b2_run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select("table_name", "row_count", "status")
 
 
+@query
+def b2_run_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run finds in its inputs and in its stored tables."""
+    target = scratch_dir(spark, "warehouse")
+    run(spark, GivenTables(spark, sf_dir), Config(target))
+    return spark.read.parquet(f"{target}/_checks").select("check_name", "violations")
+
+
 @query
 def q1_key_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return check_keys(_warehouse(spark, sf_dir))
+    return check_keys(_published(spark, sf_dir))

@@ -17,7 +17,7 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     It cuts the lineage: a lost executor costs a re-read, not a recomputation.
     """
     folder = f"{scratch_dir(df.sparkSession, purpose)}/table"
-    df.write.parquet(folder)
+    df.write.option("compression", "zstd").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

@@ -296,29 +296,32 @@ def _agreement(a: str, b: str) -> int:
 def shared_lines(
     path: pd.Series,
     own: pd.Series,
+    kinds: pd.Series,
     before: pd.Series,
     before_lines: pd.Series,
     after: pd.Series,
     after_lines: pd.Series,
 ) -> pd.Series:
-    """Whether each page shares each of its lines with its partner."""
+    """Which lines of each page go because its partner has them too."""
     out = []
-    for p, lines, *sides in zip(path, own, before, before_lines, after, after_lines, strict=True):
-        lines = list(lines)
+    sides = zip(before, before_lines, after, after_lines, strict=True)
+    for p, lines, kind, (b, b_lines, a, a_lines) in zip(path, own, kinds, sides, strict=True):
+        lines, kind = list(lines), np.array(kind, np.int64)
         near = [
             (-_agreement(p, other), i, list(found))
-            for i, (other, found) in enumerate((sides[:2], sides[2:]))
+            for i, (other, found) in enumerate(((b, b_lines), (a, a_lines)))
             if other is not None and list(found) != lines
         ]
         flags = np.zeros(len(lines), bool)
         if near:
             flags[common_lines(lines, min(near)[2])] = True
-        out.append(flags.tolist())
+        article = np.isin(kind, (PROSE, BLOCK)).any()
+        out.append((flags & (kind == (BLOCK if article else LOOSE))).tolist())
     return pd.Series(out)
 
 
 def nearest_shared(keyed: DataFrame) -> DataFrame:
-    """(__row, shared) for pages (__row, host, path, digests): whether each line is shared.
+    """(__row, shared) for the pages (__row, host, path, digests, kinds) with lines to delete.
 
     Pages are sorted by host and path. Of the page before and the one after on the same host,
     the partner is the one whose path agrees longer from the start, else the one before. Pages
@@ -344,7 +347,11 @@ def nearest_shared(keyed: DataFrame) -> DataFrame:
     return (
         placed.join(neighbour(1, "before"), "__rank", "left")
         .join(neighbour(-1, "after"), "__rank", "left")
-        .select("__row", shared("path", "digests", *side("before"), *side("after")).alias("shared"))
+        .select(
+            "__row",
+            shared("path", "digests", "kinds", *side("before"), *side("after")).alias("shared"),
+        )
+        .filter(F.exists("shared", lambda flag: flag))
     )
 
 
@@ -359,7 +366,8 @@ def main_texts(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url")) ->
     prose of an article: a sentence that two articles share belongs to both. Furniture is
     deleted anyway; loose lines count only where a page has no article.
 
-    ``lines`` has (kind, text, shared) in page order. A null or empty html has no lines and an
+    ``lines`` has (kind, text, shared) in page order; ``shared`` marks the lines deleted because
+    the partner has them. A null or empty html has no lines and an
     empty text. A null url is a host of its own. Rows that repeat are pages of the same lines,
     so neither is the other's partner. An empty table gives an empty table.
     """
@@ -375,10 +383,14 @@ def main_texts(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url")) ->
         "pages",
     )
     # Equal rows are equal pages; one of them stands for all in the order of URLs.
-    unique = read.groupBy("__row").agg(*[F.first(c).alias(c) for c in ("host", "path", "digests")])
+    kinds = F.transform("lines", lambda line: line["kind"].cast("byte"))
+    narrow = read.select("__row", "host", "path", "digests", kinds.alias("kinds"))
+    unique = narrow.groupBy("__row").agg(
+        *[F.first(c).alias(c) for c in ("host", "path", "digests", "kinds")]
+    )
+    # Only the pages that lose lines by it, few as a rule, meet their lines again.
     shared = stored(nearest_shared(unique), "shared-lines").withColumnRenamed("__row", "__of")
-    kinds = F.transform("lines", lambda line: line["kind"])
-    article = F.array_contains(kinds, PROSE) | F.array_contains(kinds, BLOCK)
+    article = F.exists("lines", lambda line: line["kind"].isin(PROSE, BLOCK))
     marked = F.transform(
         "lines",
         lambda line, i: F.struct(

@@ -182,8 +182,10 @@ def decided(units: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     return out
 
 
-def taken_copies(keyed: DataFrame, bucket_rows: int = BUCKET_ROWS, **how) -> DataFrame:
-    """One row per class of equal rows: keys, ``__rows``, ``__copies``, and its sizes.
+def taken_copies(
+    keyed: DataFrame, bucket_rows: int = BUCKET_ROWS, carry: tuple[str, ...] = (), **how
+) -> DataFrame:
+    """One row per class of equal rows: keys, ``__rows``, ``__copies``, its sizes, and ``carry``.
 
     ``keyed`` comes from :func:`with_row_key`.
     """
@@ -194,6 +196,7 @@ def taken_copies(keyed: DataFrame, bucket_rows: int = BUCKET_ROWS, **how) -> Dat
             F.count("*").alias("__rows"),
             F.first("source").alias("source"),
             F.first("__size").alias("size"),
+            *[F.first(c).alias(c) for c in carry],
         ),
         "classes",
     )
@@ -224,7 +227,11 @@ def taken_copies(keyed: DataFrame, bucket_rows: int = BUCKET_ROWS, **how) -> Dat
     return stored(
         aimed.join(extra, list(KEYS))
         .withColumn("__copies", F.col("__whole") * F.col("__rows") + F.col("__extra"))
-        .select(*KEYS, "__rows", "__copies", "__whole", "__extra", "size", "source_size", "target"),
+        .select(
+            *KEYS,
+            *["__rows", "__copies", "__whole", "__extra", "size", "source_size", "target"],
+            *carry,
+        ),
         "copies",
     )
 
@@ -250,11 +257,9 @@ def taken_words(docs: DataFrame) -> DataFrame:
     An empty table gives an empty table.
     """
     keyed = with_row_key(docs)
-    ids = keyed.groupBy(*KEYS).agg(F.first("doc_id").alias("doc_id"))
     row = F.explode(F.sequence(F.lit(1).cast("long"), "__rows"))
-    copies = taken_copies(keyed)
     return (
-        copies.join(ids, list(KEYS))
+        taken_copies(keyed, carry=("doc_id",))
         .withColumn("__n", row)
         .select(
             "doc_id",

@@ -17,7 +17,7 @@ WEIGHTS = (3, 1, 2)
 BUDGET = 1.5
 MOST_COPIES = 2
 # Documents of one source that one task moves; what stays fractional goes on to the next level.
-BUCKET_ROWS = 10_000
+BUCKET_ROWS = 2_000
 # Fractional documents of a source that the landing decides together.
 LANDING = 14
 SEED = 42

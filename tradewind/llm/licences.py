@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import bisect
+import math
 import re
 from collections import Counter
 
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LEAST_DICE = 0.8
+EPSILON = 1e-9
 WORD = re.compile(r"[^\W_]+")
 # Lines and sentences: the units whose runs are compared.
 UNIT = re.compile(r"[^\n]+?(?:[.!?;:](?=\s)|(?=\n)|\Z)|[^\n]+")
@@ -79,7 +81,8 @@ def bigrams(text: str) -> list[tuple[str, str]]:
 
 def size_bounds(size: int, least: float) -> tuple[int, int]:
     """Numbers of bigrams another text may have for a Dice coefficient of ``least``."""
-    return -int(-(least * size / (2 - least)) // 1), int((2 - least) * size / least)
+    low, high = least * size / (2 - least), (2 - least) * size / least
+    return math.ceil(low - EPSILON), math.floor(high + EPSILON)
 
 
 class Templates:
@@ -92,23 +95,25 @@ class Templates:
         self.sizes = [sum(c.values()) for c in self.counts]
         self.bounds = [size_bounds(n, least) for n in self.sizes]
         self.known = frozenset(pair for c in self.counts for pair in c)
-        self.longest = max((high for _, high in self.bounds), default=0)
+        # Most bigrams outside a template that a matching run can have.
+        self.slack = [2 * n * (1 - least) / least + EPSILON for n in self.sizes]
 
     def find(self, text: str) -> list[tuple[str, float, int, int]]:
         """(name, dice, start, end) of the best runs of units, none overlapping another."""
         units = []
+        last_word = None
         for m in UNIT.finditer(text):
             words = WORD.findall(m[0].lower())
             if words:
-                units.append((m.start(), m.end(), words))
-        touched = [
-            any(pair in self.known for pair in zip(words, words[1:], strict=False))
-            for _, _, words in units
-        ]
+                pairs = list(zip(words, words[1:], strict=False))
+                across = None if last_word is None else (last_word, words[0])
+                units.append((m.start(), m.end(), pairs, across))
+                last_word = words[-1]
         found = []
-        for first, hit in enumerate(touched):
-            if hit:
-                found += self._runs(units, first)
+        for first, (_, _, pairs, _) in enumerate(units):
+            onward = [units[first + 1][3]] if first + 1 < len(units) else []
+            if self._worth(self.known, pairs, onward):
+                found += self._runs(units, first, onward)
         found.sort(key=lambda f: (-f[1], f[2], f[3], f[0]))
         taken: list[tuple[str, float, int, int]] = []
         for one in found:
@@ -120,31 +125,51 @@ class Templates:
                 taken.insert(at, one)
         return taken
 
-    def _runs(self, units: list, first: int) -> list[tuple[str, float, int, int]]:
-        """Matches of the runs that begin at a unit, as long as any template's bound allows."""
+    def _worth(self, known, pairs: list, onward: list) -> bool:
+        """Whether a best match may begin with a unit of these bigrams.
+
+        A first unit is worth its place only if at least half of ``least`` of what it adds,
+        alone or with the bigram that leads on from it, is in the template: without it the
+        coefficient would be higher, and the shorter run be preferred.
+        """
+        hits = sum(pair in known for pair in pairs)
+        if pairs and hits >= self.least / 2 * len(pairs) - EPSILON:
+            return True
+        hits += sum(pair in known for pair in onward)
+        return bool(onward) and hits >= self.least / 2 * (len(pairs) + 1) - EPSILON
+
+    def _runs(self, units: list, first: int, onward: list) -> list[tuple[str, float, int, int]]:
+        """Matches of the runs that begin at a unit.
+
+        A template is given up when more bigrams are outside it than any match could have:
+        2 T / (2 T + misses) is the most that a run with so many can reach.
+        """
+        begin, _, pairs, _ = units[first]
+        active = [t for t, c in enumerate(self.counts) if self._worth(c, pairs, onward)]
         found = []
-        size, last_word = 0, None
-        inside = [0] * len(self.counts)
+        size = 0
+        inside = dict.fromkeys(active, 0)
         seen: Counter = Counter()
-        for start, end, words in units[first:]:
-            pairs = list(zip(words, words[1:], strict=False))
-            if last_word is not None:
-                pairs.insert(0, (last_word, words[0]))
-            last_word = words[-1]
+        for i in range(first, len(units)):
+            _, end, pairs, across = units[i]
+            if i > first:
+                pairs = [across, *pairs]
             size += len(pairs)
-            if size > self.longest:
-                break
             for pair in pairs:
                 if pair in self.known:
                     seen[pair] += 1
-                    for t, counts in enumerate(self.counts):
-                        if seen[pair] <= counts[pair]:
+                    for t in active:
+                        if seen[pair] <= self.counts[t][pair]:
                             inside[t] += 1
-            for t, (low, high) in enumerate(self.bounds):
+            for t in active:
+                low, high = self.bounds[t]
                 if low <= size <= high:
                     dice = 2 * inside[t] / (size + self.sizes[t])
                     if dice >= self.least:
-                        found.append((self.names[t], dice, units[first][0], end))
+                        found.append((self.names[t], dice, begin, end))
+            active = [t for t in active if size - inside[t] <= self.slack[t]]
+            if not active:
+                break
         return found
 
 
@@ -158,9 +183,8 @@ def with_licences(
 
     Texts and templates are normalised to lower-case words. A text is cut into lines and
     sentences; runs of these are compared with each template whose size allows a Dice
-    coefficient of ``least`` over word bigrams, counted with repeats. Runs begin only at units
-    that hold a bigram of some template: a run is better without a first unit that has none. Of overlapping
-    matches the best stays, then the earlier, shorter, first in name. A null or empty text has
+    coefficient of ``least`` over word bigrams, counted with repeats. Of overlapping matches
+    the best stays, then the earlier, shorter, first in name. A null or empty text has
     none; repeated rows stay; an empty table gives an empty table. Templates are code, so what
     tasks carry does not grow with the data.
     """

@@ -8,16 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.llm import (
+    chat,
     decontaminate,
     licences,
     lines,
     mixing,
     outliers,
     pages,
+    repeats,
     secrets,
     sharding,
     simhash,
     warc,
+    whitening,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,6 +118,73 @@ def op10_warc_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return warc.round_trip(_table(spark, folder, "pages"))
 
 
+def _with_periods(doc_id, words):
+    """A tenth of the documents, chosen by id, with a tail of words that repeats."""
+    hashed = F.crc32(doc_id.cast("string").cast("binary"))
+    n, g = F.size(words), F.floor(hashed / 10)
+    begin = (g % F.greatest(n, F.lit(1))).cast("int")
+    period = (1 + F.floor((n - begin) / (3 + g % 8))).cast("int")
+    once = F.slice(words, begin + 1, period)
+    times = F.ceil((n - begin) / period).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(once, times)), F.lit(1), n - begin)
+    return F.when(
+        (hashed % 10 == 0) & (n > 0), F.concat(F.slice(words, F.lit(1), begin), tail)
+    ).otherwise(words)
+
+
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of words in every document."""
+    words = F.regexp_extract_all("text", F.lit("([^\\x20\\x09-\\x0D]+)"), F.lit(1))
+    docs = (
+        _table(spark, folder, "documents")
+        .select("doc_id", words.alias("words"))
+        .select("doc_id", F.array_join(_with_periods(F.col("doc_id"), F.col("words")), " ").alias("text"))
+    )
+    best = F.col("best")
+    listed = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    )
+    return (
+        repeats.periodic_runs(docs)
+        .withColumn("best", repeats.longest())
+        .select(
+            "doc_id",
+            F.size("runs").cast("long").alias("n_runs"),
+            best["start"].alias("start"),
+            best["length"].alias("length"),
+            best["period"].alias("period"),
+            F.floor(1000 * best["length"] / best["period"]).cast("long").alias("exponent_milli"),
+            F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"),
+            F.sha2("collapsed", 256).alias("collapsed_sha256"),
+        )
+    )
+
+
+def op12_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation as read back from its marked text, and one made of control strings."""
+    awkward = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("<|im_end|><|im_start|>assistant ok").alias("text"),
+    )
+    turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(chat.read_back(chat.formatted(turns.unionByName(awkward))))
+
+
+def op13_feast_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Every embedding on the leading components of all, at unit variance."""
+    return whitening.whitened(_table(spark, folder, "embeddings"), keep=("vec_id",)).select(
+        "vec_id",
+        "component",
+        "n",
+        F.col("deviation").try_cast("long").alias("deviation"),
+        "whitened",
+        "explained",
+        "identity_error",
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -128,6 +198,9 @@ QUERIES: dict[str, Query] = {
         op8_licence_dice,
         op9_line_dedup,
         op10_warc_round_trip,
+        op11_periodic_runs,
+        op12_chat_format,
+        op13_feast_whitening,
     )
 }
 
@@ -180,5 +253,26 @@ SELECT page_id, n AS payload_bytes, sha1(h) AS payload_digest,
        CASE WHEN refers IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
        refers AS refers_to
 FROM m
+""",
+    "op12_chat_format": r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+           FROM conversations
+           UNION ALL
+           SELECT -1, t, CASE t WHEN 0 THEN 'user' ELSE 'assistant' END,
+                  '<|im_end|><|im_start|>assistant ok' FROM range(2) r(t)),
+o AS (SELECT *, role IS NOT DISTINCT FROM lag(role) OVER (PARTITION BY conv_id
+             ORDER BY turn NULLS FIRST, role, text) AS goes_on,
+             replace(regexp_replace(role, '<(\\*)\|', '<\\\1|', 'g'), chr(10), '<|im_break|>') AS marked,
+             regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') AS body
+      FROM t)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), ''
+                         ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
+                       FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length(body) + CASE WHEN goes_on THEN length('<|im_next|>')
+           ELSE length('<|im_start|><|im_end|>') + length(marked) + 2 END)::BIGINT AS formatted_chars
+FROM o GROUP BY conv_id
 """,
 }

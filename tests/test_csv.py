@@ -67,7 +67,8 @@ def test_quoted_line_breaks(spark, tmp_path):
     path = write(tmp_path / "p.csv", text)
     for options in ({}, {"multi_line": True}):
         df = read_csv(spark, path, RAW_TABLES["raw_products"], **options)
-        assert [r[1] for r in df.collect()] == ["two\nlines", 'say "a"']
+        # The file's order is in the recorded position.
+        assert [r[1] for r in df.orderBy("_ord").collect()] == ["two\nlines", 'say "a"']
     plain = write(tmp_path / "q.csv", 'product_id,product_category_name\n2,"say ""a"""\n')
     assert has_quoted_breaks(spark, path) and not has_quoted_breaks(spark, plain)
 

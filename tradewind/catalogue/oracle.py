@@ -242,6 +242,10 @@ SELECTS: dict[str, str] = {
         SELECT CAST(product_id AS VARCHAR) AS product_id,
           replace(product_category_name, ' ', chr(10)) AS product_category_name
         FROM raw_products""",
+    "s1_split_breaks": """
+        SELECT CAST(product_id AS VARCHAR) AS product_id,
+          replace(product_category_name, ' ', chr(10)) AS product_category_name
+        FROM raw_products""",
     "s1_bad_cells": " UNION ALL ".join(
         f"SELECT 'raw_order_items' AS table_name, '{column}' AS column_name,"
         f" count(*) AS bad_cells FROM raw_order_items WHERE order_id % {n} = 0"

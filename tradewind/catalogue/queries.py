@@ -161,6 +161,16 @@ def s1_quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, f"{folder}/raw_products.csv", table).drop(ORDINAL)
 
 
+@query
+def s1_split_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As s1_quoted_breaks, with records found in byte ranges."""
+    broken = F.regexp_replace("product_category_name", " ", "\n")
+    products = _raw(spark, sf_dir, "raw_products").withColumn("product_category_name", broken)
+    folder = _write_csv(spark, {"raw_products": products})
+    table = RAW_TABLES["raw_products"]
+    return read_csv(spark, f"{folder}/raw_products.csv", table, split_above=0).drop(ORDINAL)
+
+
 @query
 def s1_bad_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells that do not fit their type, spoilt by rule: words, too many decimals, a fraction."""

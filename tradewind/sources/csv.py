@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tradewind.functions.text import checked, null_if_token, typed_cell, whole_number
 from tradewind.schemas import DEFAULT_MANIFEST, ORDINAL, RAW_TABLES, RawTable
 from tradewind.session import in_parallel, path_exists
+from tradewind.sources.records import whole_records
 
 log = logging.getLogger(__name__)
 
@@ -42,7 +43,7 @@ def _guess_types(df: DataFrame, columns: list[str]) -> dict[str, T.DataType]:
 
 
 def has_quoted_breaks(spark: SparkSession, path: str) -> bool:
-    """Whether some line has an odd number of quotes, so that a record goes on past it.
+    """Whether some line has an odd number of quotes, so that a record may go on past it.
 
     One more pass over the text, ended by the first such line.
     """
@@ -50,6 +51,80 @@ def has_quoted_breaks(spark: SparkSession, path: str) -> bool:
     return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
 
 
+def has_bare_returns(spark: SparkSession, path: str) -> bool:
+    """Whether a carriage return stands elsewhere than before a line feed."""
+    lines = spark.read.option("lineSep", "\n").text(path)
+    return not lines.filter(F.col("value").rlike("\r.")).isEmpty()
+
+
+def largest_file(spark: SparkSession, path: str) -> int:
+    """Bytes of the largest file; contents are not read."""
+    files = spark.read.format("binaryFile").load(path)
+    return files.agg(F.max("length")).first()[0] or 0
+
+
+# Files with quoted line breaks over this size are read in ranges. Finding records in ranges costs
+# about twenty times the CPU of reading on, which pays once a file keeps one task too long.
+SPLIT_ABOVE = 1 << 30
+
+# The position of a row in its file; the name is out of reach of a header cell.
+_PLACE = "\x00place"
+
+
+def _placed_cells(
+    spark: SparkSession, path: str, multi_line: bool | None, split_above: int
+) -> DataFrame:
+    """All columns as text by header name, with the row's position in its file at the end."""
+    options = {"escape": '"', "multiLine": True}
+    if multi_line is None:
+        multi_line = has_quoted_breaks(spark, path)
+        if multi_line and largest_file(spark, path) > split_above:
+            if not has_bare_returns(spark, path):
+                return _cells_of_records(spark, path, options)
+            log.warning(
+                "%s has quoted line breaks and bare returns: each file is read by one task", path
+            )
+    # With enforceSchema off, files whose headers disagree are an error, not misread.
+    text = spark.read.options(
+        header=True, enforceSchema=False, **options | {"multiLine": multi_line}
+    ).csv(path)
+    place = F.struct(
+        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    return text.select("*", place.alias(_PLACE))
+
+
+def _cells_of_records(spark: SparkSession, path: str, options: Mapping) -> DataFrame:
+    """The cells of :func:`whole_records`. Files whose headers disagree are an error."""
+    header = spark.read.options(header=False, **options).csv(path).first()
+    names = spark.read.options(header=True, **options).csv(path).columns
+    cells = ", ".join(f"`c{i}` string" for i in range(len(names)))
+    text = F.regexp_replace("_text", "^\ufeff", "")
+    parsed = whole_records(spark, path).select(
+        "_name",
+        "_record",
+        F.from_csv(
+            F.when(F.col("_record") == 1, text).otherwise(F.col("_text")),
+            cells,
+            {name: str(value).lower() for name, value in options.items()},
+        ).alias("_cells"),
+    )
+    row = F.array(*[F.col(f"_cells.c{i}") for i in range(len(names))])
+    want = F.array(*[F.lit(cell).cast("string") for cell in header])
+    message = F.concat(F.lit("header differs: "), F.col("_name"))
+    is_header = F.when(F.col("_record") > 1, False).otherwise(
+        F.when(row == want, True).otherwise(F.raise_error(message).cast("boolean"))
+    )
+    place = F.struct(
+        F.col("_name").alias("file"), F.lit(0).cast("long").alias("block"), F.col("_record").alias("row")
+    )
+    return parsed.filter(~is_header).select(
+        *[F.col(f"_cells.c{i}").alias(name) for i, name in enumerate(names)], place.alias(_PLACE)
+    )
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -57,6 +132,7 @@ def read_csv(
     *,
     infer_undeclared: bool = False,
     multi_line: bool | None = None,
+    split_above: int = SPLIT_ABOVE,
     on_bad_cells: str = "fail",
     bad_cells: Observation | None = None,
 ) -> DataFrame:
@@ -68,42 +144,33 @@ def read_csv(
     ``bad_cells`` observes how many of each column did. Other columns pass through as text, or
     with ``infer_undeclared`` as the type that one extra pass over them finds.
 
-    Records with quoted line breaks need ``multi_line``, which reads each file in a single
-    task. By default a pass over the text finds whether there are any.
+    By default a pass over the text finds whether quoted cells may hold line breaks. If so, each file
+    is read by one task, but where one is larger than ``split_above`` bytes, records are found
+    in byte ranges by many (:mod:`tradewind.sources.records`), unless there are carriage
+    returns without line feed. Both give the same rows. ``multi_line`` true or false spares the pass
+    and reads by one task a file, or by lines.
     """
-    if multi_line is None:
-        multi_line = has_quoted_breaks(spark, path)
-        if multi_line:
-            log.warning("%s has quoted line breaks: each file is read by one task", path)
-    # With enforceSchema off, files whose headers disagree are an error, not misread.
-    text = spark.read.options(
-        header=True, escape='"', multiLine=multi_line, enforceSchema=False
-    ).csv(path)
+    text = _placed_cells(spark, path, multi_line, split_above)
+    names = text.columns[:-1]
     declared = {field.name: field.dataType for field in table.schema}
-    missing = [name for name in declared if name not in text.columns]
+    missing = [name for name in declared if name not in names]
     if missing:
         raise ValueError(f"{path}: no column named {', '.join(missing)}")
 
-    cells = text.withColumns({name: null_if_token(F.col(f"`{name}`")) for name in text.columns})
+    cells = text.withColumns({name: null_if_token(F.col(f"`{name}`")) for name in names})
     types = dict(declared)
     if infer_undeclared:
-        types |= _guess_types(cells, [c for c in text.columns if c not in declared])
+        types |= _guess_types(cells, [c for c in names if c not in declared])
     typed = {
         name: typed_cell(F.col(f"`{name}`"), types.get(name, T.StringType()))
-        for name in text.columns
+        for name in names
     }
     columns = [
         checked(F.col(f"`{name}`"), value, name, on_bad_cells).alias(name)
         for name, value in typed.items()
     ]
     if table.keeps_order:
-        # Position of the row in its file: blocks by offset, rows by running id within.
-        ordinal = F.struct(
-            F.col("_metadata.file_name").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row"),
-        )
-        columns.append(ordinal.alias(ORDINAL))
+        columns.append(F.col(f"`{_PLACE}`").alias(ORDINAL))
     if bad_cells is None:
         return cells.select(*columns)
     lost = {n: v for n, v in typed.items() if not isinstance(types.get(n), T.StringType | None)}

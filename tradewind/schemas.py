@@ -75,6 +75,16 @@ RAW_TABLES: dict[str, RawTable] = {
     ),
 }
 
+# The column that each raw table is best divided by.
+RAW_KEYS = {
+    "raw_orders": "order_id",
+    "raw_customers": "customer_id",
+    "raw_order_items": "order_id",
+    "raw_products": "product_id",
+    "raw_order_payments": "order_id",
+    "raw_category_translation": "product_category_name",
+}
+
 MONEY_COLUMNS = ("price", "freight_value", "payment_value")
 
 # File name -> table; pass another mapping to ingest files that are named differently.

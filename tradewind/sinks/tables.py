@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation
@@ -59,3 +60,19 @@ class JdbcSink:
         df, observation = counted(df)
         self.zone.replace(df, name)
         return rows_of(observation)
+
+    def write_all(self, tables: Mapping[str, DataFrame]) -> dict[str, int]:
+        """Replace several tables; readers see all the old ones or all the new ones.
+
+        All are written beside the old ones first. Where the database's dialect knows no swap,
+        they are replaced one by one.
+        """
+        if not self.zone.can_swap():
+            return {name: self.write(df, name) for name, df in tables.items()}
+        rows, staged = {}, {}
+        for name, df in tables.items():
+            df, observation = counted(df)
+            staged[self.zone.stage(df, name)] = name
+            rows[name] = rows_of(observation)
+        self.zone.swap(staged)
+        return rows

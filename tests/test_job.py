@@ -1,6 +1,5 @@
 """Publishing, full refresh, failure handling, reports and connector options."""
 
-import re
 from decimal import Decimal
 
 import pytest
@@ -31,14 +30,7 @@ from tradewind.sinks.publish import (
 )
 from tradewind.sinks.tables import CatalogSink, ParquetSink
 from tradewind.sources.extract import bad_money, conform
-from tradewind.sources.tables import (
-    CatalogZone,
-    JdbcZone,
-    LoadZone,
-    ParquetZone,
-    block_ranges,
-    hash_predicates,
-)
+from tradewind.sources.tables import CatalogZone, LoadZone, ParquetZone
 
 
 @pytest.mark.parametrize("seed, duplicates", [(1, False), (2, True)])
@@ -156,40 +148,6 @@ def test_money_is_read_as_decimal(spark):
     assert [str(v) for v in df.first()] == ["1.0050", "None", "1"]
 
 
-def test_jdbc_options(spark, monkeypatch):
-    monkeypatch.setenv("TRADEWIND_JDBC_USER", "reader")
-    monkeypatch.setenv("TRADEWIND_JDBC_PASSWORD", "secret")
-    zone = JdbcZone(spark, "jdbc:any", {"driver": "some.Driver"})
-    common = {"user": "reader", "password": "secret", "driver": "some.Driver"}
-    sizes = {"batchsize": "1000", "numPartitions": "16"}
-    assert zone.write_properties() == sizes | common
-    assert zone.read_properties() == {"fetchsize": "10000"} | common
-    assert "secret" not in repr(zone)
-
-
-def test_hash_predicates_cover_every_row_once():
-    parts = hash_predicates("k", 3)
-    assert len(parts) == 3 and parts[0].endswith("or k is null)")
-    assert all(p.startswith("mod(abs(hashtext(k::text)::bigint), 3)") for p in parts[1:])
-
-
-@pytest.mark.parametrize("blocks, partitions", [(0, 1), (1, 5), (10, 3), (100, 100), (7, 0)])
-def test_block_ranges_cover_every_block_once(blocks, partitions):
-    parts = block_ranges(blocks, partitions)
-    edges = [[int(n) for n in re.findall(r"\((\d+),0\)", part)] for part in parts]
-    assert edges[0][0] == 0 and len(edges[-1]) == 1
-    assert all(a[1] == b[0] and a[0] < a[1] for a, b in zip(edges, edges[1:]))
-    assert len(parts) <= max(1, partitions)
-
-
-def test_jdbc_read_tasks_follow_the_size(spark, monkeypatch):
-    monkeypatch.setattr(JdbcZone, "blocks", lambda self, name: 1_000_000)
-    zone = JdbcZone(spark, "jdbc:any", split_by={"v": "k"}, partitions={"small": 4})
-    assert len(zone.conditions("raw_products")) == -(-1_000_000 // 16_384)
-    assert len(zone.conditions("small")) == 4
-    assert len(zone.conditions("v")) == 32 and "hashtext(k::text)" in zone.conditions("v")[0]
-
-
 def test_exact_money_reaches_top_products(spark, tmp_path):
     """No way over doubles: 1234567890123.4567 would come back as ….4568, the other as null."""
     rows = make_rows(1, False)

@@ -13,6 +13,7 @@ import sys
 import traceback
 import uuid
 from collections.abc import Callable
+from contextlib import nullcontext
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -24,9 +25,10 @@ from tradewind.plans import marts, rollups, star
 from tradewind.plans.master import master
 from tradewind.plans.warehouse import count_duplicates
 from tradewind.quality import check_keys
-from tradewind.schemas import DEFAULT_MANIFEST
+from tradewind.schemas import DEFAULT_MANIFEST, RAW_TABLES
 from tradewind.session import configure, drop_scratch, fit_shuffles, in_parallel, scratch_dir
 from tradewind.sinks.publish import (
+    begin_run,
     copy_to_database,
     expire_runs,
     mark_published,
@@ -46,7 +48,8 @@ class Config:
     """Settings of a run.
 
     ``land_inputs`` copies the inputs to the shared scratch folder first, so that a
-    database is read once instead of once per output table. ``threads`` bounds the tables
+    database is read once, as of one moment where it can, instead of once per output table.
+    ``threads`` bounds the tables
     written at the same time. With ``check_warehouse`` the grain of the fact and its orphan
     keys are counted in the stored tables. ``on_bad_cells`` says what an amount does that is no
     decimal of four digits: "fail" the run, or become null and be "count"-ed in the report.
@@ -111,14 +114,17 @@ def build(
     """
     staging = ParquetSink(ParquetZone(spark, scratch))
     violations = {}
-    if config.on_bad_cells == "count":
-        for table in ("raw_order_items", "raw_order_payments"):
-            found = bad_money(source.table(table))
-            violations |= {f"bad cells {table}.{column}": n for column, n in found.items()}
-    data = extract(source, config.on_bad_cells)
-    if config.land_inputs:
-        jobs = [lambda n=n, df=df: _stage(staging, df, f"input_{n}") for n, df in data.items()]
-        data = dict(zip(data, in_parallel(spark, jobs, config.threads)))
+    frozen = getattr(source, "frozen", None)
+    # What is not landed is read again later, when a snapshot would be gone.
+    with frozen(*RAW_TABLES) if frozen and config.land_inputs else nullcontext(source) as source:
+        if config.on_bad_cells == "count":
+            for table in ("raw_order_items", "raw_order_payments"):
+                found = bad_money(source.table(table))
+                violations |= {f"bad cells {table}.{column}": n for column, n in found.items()}
+        data = extract(source, config.on_bad_cells)
+        if config.land_inputs:
+            jobs = [lambda n=n, df=df: _stage(staging, df, f"input_{n}") for n, df in data.items()]
+            data = dict(zip(data, in_parallel(spark, jobs, config.threads)))
 
     # Plain tables only: Catalyst estimates a join by multiplying its sides.
     fit_shuffles(spark, data["orders"], data["order_items"], data["payments"])
@@ -190,7 +196,10 @@ def build(
 
 
 def run(spark: SparkSession, source: Source, config: Config) -> RunReport:
-    """One full refresh. A failure is reported, not raised; the last good run stays visible."""
+    """One full refresh. A failure is reported, not raised; the last good run stays visible.
+
+    Runs may overlap: one that ends after a run that began later fails as superseded.
+    """
     configure(spark)
     started = _now()
     report = RunReport(f"{started:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}", started)
@@ -198,6 +207,7 @@ def run(spark: SparkSession, source: Source, config: Config) -> RunReport:
     scratch = None
     try:
         scratch = scratch_dir(spark, "run")
+        begun = begin_run(spark, config.target, report.run_id)
         zone = run_zone(spark, config.target, report.run_id)
         report.rows, report.violations = build(spark, source, zone, scratch, config)
         if config.check_warehouse:
@@ -205,7 +215,7 @@ def run(spark: SparkSession, source: Source, config: Config) -> RunReport:
             # The other tables come from a grouping by their grain.
             found = check_keys(stored, grains=("fact_order_items",)).collect()
             report.violations |= {row["check_name"]: row["violations"] for row in found}
-        mark_published(spark, config.target, report.run_id)
+        mark_published(spark, config.target, report.run_id, begun)
         report.status = "succeeded"
     except Exception as error:
         log.error("run %s failed\n%s", report.run_id, traceback.format_exc())

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
@@ -113,6 +114,54 @@ def drop_scratch(spark: SparkSession, folder: str) -> None:
     file_system.delete(hadoop_path, True)
 
 
+def child_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly in a folder; none where it does not exist."""
+    hadoop_path, file_system = _hadoop_path(spark, path)
+    if not file_system.exists(hadoop_path):
+        return []
+    found = file_system.listStatus(hadoop_path)
+    return [status.getPath().getName() for status in found if status.isFile()]
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    hadoop_path, file_system = _hadoop_path(spark, path)
+    stream = file_system.open(hadoop_path)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Put a small file in place, whole, unless there is one of that name; whether it was put.
+
+    It is written under another name and renamed without overwriting, which file systems such as
+    HDFS do in one step. Of several writers one succeeds.
+    """
+    jvm = spark._jvm
+    draft, file_system = _hadoop_path(spark, f"{path}.{uuid.uuid4().hex}.draft")
+    final, _ = _hadoop_path(spark, path)
+    stream = file_system.create(draft, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        file_system.getUri(), spark._jsc.hadoopConfiguration()
+    )
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+    try:
+        context.rename(draft, final, options)
+        return True
+    except Py4JJavaError as error:
+        if file_system.exists(final):
+            return False
+        raise error
+    finally:
+        if file_system.exists(draft):
+            file_system.delete(draft, False)
+
+
 def child_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below one; none where it does not exist."""
     hadoop_path, file_system = _hadoop_path(spark, path)

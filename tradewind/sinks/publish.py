@@ -1,8 +1,12 @@
 """Publishing a full refresh: write everything, then repoint.
 
-Each run writes its tables under ``<target>/_runs/<run_id>``. Readers follow the
-last entry of the ``<target>/_published`` log, which a run appends only after all
-of its tables are complete, so a failed run leaves the last good tables visible.
+Each run writes its tables under ``<target>/_runs/<run_id>``. Readers follow the last commit below
+``<target>/_commits``, which a run adds only after all of its tables are complete, so a
+failed run leaves the last good tables visible.
+
+Runs may overlap. Each takes a number when it begins (``<target>/_started``), and commits are numbered
+too; both are files that are put in place only where no file of that number is. A run
+commits only if no run that began later has, so a late old run never hides a newer one. Clocks play no part.
 """
 
 from __future__ import annotations
@@ -10,11 +14,17 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tradewind.operators.ordering import in_report_order
 from tradewind.schemas import WAREHOUSE_COLUMNS
-from tradewind.session import child_folders, delete_folder, in_parallel, path_exists
+from tradewind.session import (
+    child_files,
+    child_folders,
+    delete_folder,
+    in_parallel,
+    put_if_absent,
+    read_text,
+)
 from tradewind.sinks.tables import JdbcSink, ParquetSink
 from tradewind.sources.tables import ParquetZone
 
@@ -37,31 +47,71 @@ def write_tables(
     return dict(zip(tables, counts))
 
 
-def mark_published(spark: SparkSession, target: str, run_id: str) -> None:
-    """Make a run the one that readers see."""
-    entry = spark.range(1).select(
-        F.lit(run_id).alias("run_id"), F.current_timestamp().alias("published_at")
-    )
-    entry.write.mode("append").parquet(f"{target.rstrip('/')}/_published")
+class SupersededError(RuntimeError):
+    """A run that began later has been published."""
+
+
+def _last_number(spark: SparkSession, folder: str) -> int:
+    """The highest number that is taken in a folder, 0 if none is."""
+    return max((int(name) for name in child_files(spark, folder) if name.isdigit()), default=0)
+
+
+def begin_run(spark: SparkSession, target: str, run_id: str) -> int:
+    """The number of a run that begins, above those of all runs before it."""
+    folder = f"{target.rstrip('/')}/_started"
+    while True:
+        number = _last_number(spark, folder) + 1
+        if put_if_absent(spark, f"{folder}/{number:012d}", run_id):
+            return number
+
+
+def last_commit(spark: SparkSession, target: str) -> tuple[int, int, str | None]:
+    """Number of the last commit, number and id of its run; zeros if there is none."""
+    folder = f"{target.rstrip('/')}/_commits"
+    number = _last_number(spark, folder)
+    if not number:
+        return 0, 0, None
+    begun, _, run_id = read_text(spark, f"{folder}/{number:012d}").partition(" ")
+    return number, int(begun), run_id
+
+
+def mark_published(
+    spark: SparkSession, target: str, run_id: str, begun: int | None = None
+) -> None:
+    """Make a run the one that readers see.
+
+    ``begun`` is its number from :func:`begin_run`; without, it counts as beginning now. Raises
+    :class:`SupersededError` where a run that began later has been published.
+    """
+    if begun is None:
+        begun = begin_run(spark, target, run_id)
+    folder = f"{target.rstrip('/')}/_commits"
+    while True:
+        # The last commit is also the newest run, as none older can follow it.
+        number, newest, other = last_commit(spark, target)
+        if newest > begun:
+            raise SupersededError(f"run {run_id} is older than {other}, which is published")
+        # Another run may commit between the look and this: then the number is taken, look again.
+        if put_if_absent(spark, f"{folder}/{number + 1:012d}", f"{begun} {run_id}"):
+            return
 
 
 def published_run(spark: SparkSession, target: str) -> str | None:
     """Id of the last published run."""
-    log = f"{target.rstrip('/')}/_published"
-    if not path_exists(spark, log):
-        return None
-    entries = spark.read.parquet(log)
-    last = entries.orderBy(F.desc("published_at"), F.desc("run_id")).first()
-    return last["run_id"]
+    return last_commit(spark, target)[2]
 
 
 def publish(
     spark: SparkSession, tables: dict[str, DataFrame], target: str, run_id: str, threads: int = 4
 ) -> dict[str, int]:
-    """Write all tables of a run, then make it visible; row counts by table."""
+    """Write all tables of a run, then make it visible; row counts by table.
+
+    Raises :class:`SupersededError` where a run that began later was faster.
+    """
+    begun = begin_run(spark, target, run_id)
     builders = {name: (lambda df=df: df) for name, df in tables.items()}
     counts = write_tables(run_zone(spark, target, run_id), builders, threads)
-    mark_published(spark, target, run_id)
+    mark_published(spark, target, run_id, begun)
     return counts
 
 
@@ -81,9 +131,9 @@ def register_views(spark: SparkSession, target: str) -> None:
 
 
 def copy_to_database(spark: SparkSession, target: str, sink: JdbcSink) -> dict[str, int]:
-    """Replace the database tables from the last published run, marts in report order."""
+    """Replace the database tables from the last published run, marts in report order, at once."""
     tables = read_published(spark, target)
-    return {name: sink.write(in_report_order(name, df), name) for name, df in tables.items()}
+    return sink.write_all({name: in_report_order(name, df) for name, df in tables.items()})
 
 
 def expire_runs(spark: SparkSession, target: str, keep: int) -> list[str]:

@@ -364,6 +364,11 @@ SELECTS: dict[str, str] = {
           CAST(freight_value AS DOUBLE) AS freight_value,
           CAST(payment_value AS DOUBLE) AS payment_value, CAST(revenue AS DOUBLE) AS revenue)
         FROM master""",
+    "c3_master_in_buckets": """
+        SELECT * REPLACE (CAST(price AS DOUBLE) AS price,
+          CAST(freight_value AS DOUBLE) AS freight_value,
+          CAST(payment_value AS DOUBLE) AS payment_value, CAST(revenue AS DOUBLE) AS revenue)
+        FROM master""",
     "c4_products": "SELECT * FROM products",
     "t1_daily_revenue": "SELECT * FROM daily_revenue",
     "t1_daily_revenue_from_master": "SELECT * FROM daily_revenue",
@@ -372,7 +377,9 @@ SELECTS: dict[str, str] = {
     "t3_customer_summary": "SELECT * FROM customer_summary",
     "t3_customer_summary_from_master": "SELECT * FROM customer_summary",
     "t4_delivery_performance": "SELECT * FROM delivery_performance",
+    "t1_daily_revenue_in_buckets": "SELECT * FROM daily_revenue",
     "t5_fact_order_items": "SELECT * FROM fact_order_items",
+    "t5_fact_in_buckets": "SELECT * FROM fact_order_items",
     "t6_dim_customers": "SELECT * FROM dim_customers",
     "t7_dim_products": "SELECT * FROM dim_products",
     "t8_dim_date": "SELECT * FROM dim_date",

@@ -28,11 +28,12 @@ from tradewind.plans.warehouse import builders, transform
 from tradewind.quality import check_keys
 from tradewind.schemas import ORDINAL, RAW_TABLES, WAREHOUSE_COLUMNS, RawTable
 from tradewind.session import configure, fit_shuffles, scratch_dir
+from tradewind.sinks.buckets import lay_out
 from tradewind.sinks.publish import publish, read_published
 from tradewind.sinks.tables import ParquetSink
 from tradewind.sources.csv import ingest, read_csv
 from tradewind.sources.extract import extract
-from tradewind.sources.tables import LoadZone, ParquetZone, query_tables
+from tradewind.sources.tables import CatalogZone, LoadZone, ParquetZone, query_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -89,6 +90,15 @@ def _mart(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return builders(given_inputs(spark, sf_dir))[name]()
 
 
+def _laid_out(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The inputs from catalog tables in buckets of order_id."""
+    folder = scratch_dir(spark, "buckets")
+    database = "tw_" + folder.rpartition("-")[2]
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}/db'")
+    lay_out(spark, {name: _raw(spark, sf_dir, name) for name in RAW_TABLES}, database, buckets=4)
+    return extract(CatalogZone(spark, database))
+
+
 def _doubles(df: DataFrame) -> DataFrame:
     """Money as double, as results are delivered; without the row ordinal."""
     money = {f.name: F.col(f.name).cast("double") for f in df.schema
@@ -553,6 +563,26 @@ def c3_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _doubles(_master(spark, sf_dir))
 
 
+@query
+def c3_master_in_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The master table without a shuffle of items or payments."""
+    data = _laid_out(spark, sf_dir)
+    return _doubles(
+        master(clean.clean_orders(data["orders"]), data["customers"], data["order_items"],
+               data["products"], data["payments"])
+    )
+
+
+@query
+def t1_daily_revenue_in_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return builders(_laid_out(spark, sf_dir))["daily_revenue"]()
+
+
+@query
+def t5_fact_in_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return builders(_laid_out(spark, sf_dir))["fact_order_items"]()
+
+
 @query
 def c4_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return given_inputs(spark, sf_dir)["products"]

@@ -27,6 +27,7 @@ from tradewind.plans.warehouse import count_duplicates
 from tradewind.quality import check_keys
 from tradewind.schemas import DEFAULT_MANIFEST, RAW_TABLES
 from tradewind.session import configure, drop_scratch, fit_shuffles, in_parallel, scratch_dir
+from tradewind.sinks.buckets import lay_out
 from tradewind.sinks.publish import (
     begin_run,
     copy_to_database,
@@ -272,6 +273,10 @@ def arguments() -> argparse.ArgumentParser:
         "--file", action="append", help="<file name>=<table> to load, repeatable"
     )
     parser.add_argument("--database", help="catalog database of the raw tables")
+    parser.add_argument(
+        "--lay-out", metavar="DATABASE",
+        help="copy the raw tables to this catalog database first, in buckets of order_id",
+    )
     parser.add_argument("--jdbc-url", help="database of the raw tables")
     parser.add_argument("--target", required=True, help="warehouse folder")
     parser.add_argument("--target-jdbc-url", help="database to copy the published tables to")
@@ -301,7 +306,11 @@ def main(argv: list[str] | None = None) -> int:
     config = Config(
         args.target, land_inputs=bool(args.jdbc_url), on_bad_cells=args.on_bad_cells
     )
-    if not run(spark, _source(spark, args), config).succeeded:
+    source = _source(spark, args)
+    if args.lay_out:
+        lay_out(spark, {name: source.table(name) for name in RAW_TABLES}, args.lay_out)
+        source = CatalogZone(spark, args.lay_out)
+    if not run(spark, source, config).succeeded:
         return 1
     if args.target_jdbc_url:
         copy_to_database(spark, args.target, JdbcSink(JdbcZone(spark, args.target_jdbc_url)))

@@ -33,8 +33,10 @@ def test_stages(spark, folder):
         before = [tuple(r) for r in docs.collect()]
         rows = [tuple(r)[:5] for r in after.collect()]
         if name == "near_duplicates":
-            found = plain_components([plain_print(r[1]) for r in before], [r[0] for r in before])
-            assert sorted(r[0] for r in rows) == sorted(set(found))
+            prints = [plain_print(r[1]) for r in before]
+            groups = plain_components(prints, range(len(before)))
+            named = plain_components(prints, [r[0] for r in before])
+            assert sorted(r[0] for r in rows) == sorted(dict(zip(groups, named, strict=True)).values())
         if name == "decontamination":
             clean = [h[0] for h in hits(before, ITEMS) if not h[-1]]
             assert sorted(r[0] for r in rows) == sorted(clean)

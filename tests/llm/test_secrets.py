@@ -97,3 +97,71 @@ def test_step_up_rule(spark):
 
 def test_empty_table(spark):
     assert secrets.secret_spans(cases.empty(spark)).collect() == []
+
+
+def drawn(pick, n, alphabet=secrets.ENCODINGS["alnum"]):
+    return "".join(pick.choice(alphabet) for _ in range(n))
+
+
+def test_joined_secrets_are_found(spark):
+    """Behind a name and an equals sign, in a query, a path or a name, and beside base spans."""
+    pick = random.Random(6)
+    base64_, url = secrets.ENCODINGS["base64"], secrets.ENCODINGS["base64url"]
+    rows, want = [], {}
+
+    def add(before, key, after=""):
+        doc_id = 2000 + len(rows)
+        rows.append((doc_id, f"some words before {before}{key}{after} and after", "en", "s", 1))
+        want[doc_id] = (18 + len(before), 18 + len(before) + len(key))
+
+    for _ in range(12):
+        add("AWS_SECRET_ACCESS_KEY=", drawn(pick, 40, base64_))
+        add("https://x.org/a?sig=", drawn(pick, 32))
+        add("https://x.org/a?user=someone&sig=", drawn(pick, 43, url), "&page=2")
+        add("/srv/data/keys/", drawn(pick, 40))
+        add("my-project-key-", drawn(pick, 36))
+        add("keys/my_deploy-key_", drawn(pick, 40), "/latest")
+        add("KEY=", drawn(pick, 38, base64_) + "==")
+        # Joined to a base span of sixteen hexadecimal digits.
+        add("0123456789abcdef/", drawn(pick, 40))
+    found = {r.doc_id: r for r in secrets.secret_spans(cases.table(spark, rows)).collect()}
+    covered = 0
+    for doc_id, (start, end) in want.items():
+        spans = [s for s in found[doc_id].spans if s.kind == 3]
+        held = sum(max(0, min(s.end, end) - max(s.start, start)) for s in spans)
+        covered += held >= 0.6 * (end - start)
+        # Outside all base spans.
+        assert all(s.end <= b.start or s.start >= b.end for s in spans for b in found[doc_id].base)
+    assert covered >= 0.95 * len(want)
+
+
+def test_names_and_paths_are_not_taken(spark):
+    texts = [
+        "https://www.example.org/articles/2024/03/some-longer-title-of-a-page?sort=descending&page=12",
+        "AWS_SECRET_ACCESS_KEY=your-secret-access-key-goes-here", "DATABASE_URL=postgres_database_name",
+        "/usr/local/lib/python/site-packages/some_package/module_name", "key=internationalization",
+        "a=b=c=d=e=f=g=h=i=j=k=l=m=n", "==================== heading ====================",
+        "some/path+with-every_kind=of/joint+and-more_words", "--------------------", "id=4497672581733027",
+    ]
+    rows = cases.rows() + [(3000 + i, t, "en", "s", 1) for i, t in enumerate(texts * 5)]
+    found = secrets.secret_spans(cases.table(spark, rows)).collect()
+    assert [r.doc_id for r in found if any(s.kind == 3 for s in r.spans)] == []
+
+
+def test_parts_of_a_run():
+    key = "kJ8sQ2vX0pLz7RtB5nWc3YgM9dHf1AaE"
+    text = f"NAME={key}=="
+    assert [t[:2] for t in secrets.scan(text)[1]] == [(5, len(text))]
+    # Every gap between base spans is tested, and nothing of 15 characters.
+    text = f"{'0123456789abcdef'}/{key}/{'fedcba9876543210'}/{key[:14]}"
+    base, tested = secrets.scan(text)
+    assert len(base) == 2 and [t[:2] for t in tested] in ([(17, 49)], [(16, 50)])
+    assert secrets.scan("a" * 15)[1] == [] and secrets.scan("=" * 50)[1] == []
+
+
+def test_clashing_columns(spark):
+    docs = cases.table(spark, secret_rows())
+    clashing = docs.selectExpr("*", "1 AS spans", "2 AS base", "3 AS tested", "'x' AS found")
+    assert cases.tuples(secrets.secret_spans(clashing), "doc_id", "base", "spans") == cases.tuples(
+        secrets.secret_spans(docs), "doc_id", "base", "spans"
+    )

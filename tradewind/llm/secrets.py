@@ -26,7 +26,12 @@ KINDS = ("assign", "access", "hex", "random")
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 # Runs of characters that encodings use, as long as a base kind at least.
-RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
+LEAST_RUN = 16
+RUN = re.compile(rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{LEAST_RUN},}}")
+# Between a name and its value; at the end of a run it is padding.
+EQUALS = re.compile(r"=+(?=[^=])")
+# Where a run may be joined from parts: paths and names have these, and so have encodings.
+JOINTS = tuple(map(re.compile, ("[/+]+", "[_-]+", "[/+_-]+")))
 
 ENCODINGS = {
     "hex": "0123456789abcdef",
@@ -161,8 +166,33 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return found
 
 
+def _pieces(cuts: re.Pattern, text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """What is left between the cuts, if long enough to be tested."""
+    edges = [start, *(edge for m in cuts.finditer(text, start, end) for edge in m.span()), end]
+    return [(a, b) for a, b in zip(edges[::2], edges[1::2]) if b - a >= LEAST_RUN]
+
+
+def tests_of(text: str, start: int, end: int) -> list[tuple[int, int, float]]:
+    """Tested parts (start, end, log10 p) of one run, which do not overlap.
+
+    A run may be one secret, or a name or path with a secret in it. So the whole is tested and
+    its parts at each kind of joint, and the way that holds the least likely part counts. For the choice, its
+    p-values are multiplied by the number of tests made (Bonferroni).
+    """
+    ways = [[(start, end)]]
+    ways += [w for cuts in JOINTS if (w := _pieces(cuts, text, start, end)) not in (ways[0], [])]
+    tested = {part: battery(text[slice(*part)]) for way in ways for part in way}
+    fitting = [[p for p in way if tested[p] is not None] for way in ways]
+    best = min(filter(None, fitting), key=lambda way: min(map(tested.get, way)), default=[])
+    made = math.log10(max(1, sum(p is not None for p in tested.values())))
+    return [(*part, min(0.0, tested[part] + made)) for part in best]
+
+
 def scan(text: str) -> tuple[list, list]:
-    """Base spans (start, end, kind) and tested runs (start, end, log10 p) of a whole text."""
+    """Base spans (start, end, kind) and tested parts of runs (start, end, log10 p) of a whole text.
+
+    Of a run, all that lies outside base spans is tested, cut at equals signs that are no padding.
+    """
     found = base_spans(text)
     runs_ = [m.span() for m in RUN.finditer(text)]
     # Hexadecimal runs of the least length lie within runs of the wider alphabet.
@@ -177,11 +207,14 @@ def scan(text: str) -> tuple[list, list]:
     reach = list(itertools.accumulate((end for _, end, _ in found), max))
     tested = []
     for start, end in runs_:
-        before = bisect.bisect_left(starts, end)
-        if not before or reach[before - 1] <= start:
-            p = battery(text[start:end])
-            if p is not None:
-                tested.append((start, end, p))
+        at = start
+        # From the first base span that reaches into the run to the last that begins in it.
+        for i in range(bisect.bisect_right(reach, start), bisect.bisect_left(starts, end)):
+            for piece in _pieces(EQUALS, text, at, max(at, min(starts[i], end))):
+                tested += tests_of(text, *piece)
+            at = max(at, found[i][1])
+        for piece in _pieces(EQUALS, text, at, max(at, end)):
+            tested += tests_of(text, *piece)
     return found, tested
 
 
@@ -227,12 +260,14 @@ def secret_spans(
     """``keep`` columns, ``base`` and ``spans`` of every document.
 
     Both are arrays of (start, end, kind), code points with exclusive end, by start and then
-    kind as in ``KINDS``. ``base`` has the pattern matches; ``spans`` adds kind ``random``: runs
+    kind as in ``KINDS``. ``base`` has the pattern matches; ``spans`` adds kind ``random``: parts
     of 16 or more characters of an encoding, outside all base spans, that written text is too
-    unlikely to have made. For each the narrowest encoding is inferred and three tests are
-    combined by Fisher's method; over all runs of all documents the share of false ones among
+    unlikely to have made. A run is cut at equals signs that are no padding, and tested whole and in parts
+    at ``/``, ``+``, ``-`` and ``_``. For each part the narrowest encoding is inferred and three tests are
+    combined by Fisher's method; over all parts of all documents the share of false ones among
     those added is held at ``rate``. A null text is empty; texts without matches have empty
-    arrays; repeated rows stay; an empty table gives an empty table. Plain numbers are not
+    arrays; very long texts are scanned whole; repeated rows stay; an empty table gives an empty table.
+    Columns that are not kept do not matter, so none clashes. Plain numbers are not
     tested: their digits are uniform without being secret.
     """
     text = F.coalesce("text", F.lit(""))

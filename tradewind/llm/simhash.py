@@ -206,10 +206,12 @@ def near_duplicates(
     max_bits: int = MAX_BITS,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row per document: id, ``keep`` columns, ``fp`` (signed long) and ``component_id``.
+    """One row per document: id, ``keep`` columns, ``fp`` (signed long), ``root``, ``component_id``.
 
     Documents whose fingerprints differ in at most ``max_bits`` bits are linked;
-    ``component_id`` is the smallest id reachable. A null or empty text has fingerprint 0 and
+    ``component_id`` is the smallest id reachable, ``root`` one fingerprint of the component, which
+    names it also where rows of several components share an id. Columns that are not kept do not
+    matter, so none clashes; very long texts are read whole. A null or empty text has fingerprint 0 and
     is linked like any other. A null id never names a component that has another id. Repeated
     rows stay, each with the same result. An empty table gives an empty table.
     """
@@ -229,15 +231,17 @@ def near_duplicates(
         rooted.join(unique, rooted["node"] == unique["fp"]).select("fp", "root", "least"), "members"
     )
     roots = stored(members.groupBy("root").agg(F.min("least").alias("component_id")), "roots")
-    named = members.join(roots, "root").select("fp", "component_id")
+    named = members.join(roots, "root").select("fp", "root", "component_id")
     every = stored(
         unique.join(named, "fp", "left").select(
-            "fp", F.coalesce("component_id", "least").alias("component_id")
+            "fp",
+            F.coalesce("root", "fp").alias("root"),
+            F.coalesce("component_id", "least").alias("component_id"),
         ),
         "classes",
     )
     return printed.join(every, "fp").select(
-        F.col("__id").alias(id_column), *keep, "fp", "component_id"
+        F.col("__id").alias(id_column), *keep, "fp", "root", "component_id"
     )
 
 
@@ -249,17 +253,18 @@ def hex_print(fp: str = "fp"):
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """The documents without near-duplicates: of each group the smallest id stays.
 
-    Of several rows with that id in a group, the one with the least content hash stays, and of
-    equal rows one. Of rows without id whose group has none, one of each fingerprint stays. Columns are those of ``docs``.
+    Groups are told apart by their root fingerprint, not by an id, as rows that share an id
+    may be in several. Of several rows with that id in a group, the one with the least content hash stays,
+    and of equal rows one. Of a group without any id one row stays. Columns are those of
+    ``docs``, whatever their names.
     """
     columns = docs.columns
     keyed = with_row_key(docs)
     found = near_duplicates(keyed, keep=KEYS, **options)
     id_column = options.get("id_column", "doc_id")
-    group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp "), hex_print()))
     chosen = (
         found.filter(F.col(id_column).eqNullSafe(F.col("component_id")))
-        .groupBy(group.alias("__group"))
+        .groupBy("root")
         .agg(F.min(F.struct(*KEYS)).alias("__key"))
         .select("__key.*")
     )

@@ -79,3 +79,39 @@ def test_empty_table_and_clashing_columns(spark):
     assert cases.tuples(got, "doc_id", "kept") == cases.tuples(
         lines.kept_lines(cases.table(spark)), "doc_id", "kept"
     )
+
+
+def test_a_text_is_hashed_once(spark):
+    """Below the generator, not for every line above it."""
+    docs = cases.table(spark)
+    hashed = lines.kept_lines
+    plans = []
+
+    def seen(df, purpose):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return df
+
+    before, lines.stored = lines.stored, seen
+    try:
+        hashed(docs)
+    finally:
+        lines.stored = before
+    above, below = plans[0].split("Generate", 1)
+    assert "xxhash64(coalesce(text" in below and "xxhash64(coalesce(text" not in above
+    assert "coalesce(text" not in above and "posexplode" in below
+
+
+def test_long_texts_take_time_in_proportion(spark):
+    """One text of one and of eight megabytes, in lines of fifty characters."""
+    import time
+
+    def seconds(megabytes):
+        text = "\n".join(f"line {i:040d} end" for i in range(20_000 * megabytes))
+        docs = spark.createDataFrame([(1, text, "en", "s", 1)], cases.SCHEMA)
+        begin = time.perf_counter()
+        lines.kept_lines(docs).selectExpr("sum(length(kept))").collect()
+        return time.perf_counter() - begin
+
+    seconds(1)
+    short, long = seconds(1), seconds(8)
+    assert long < 8 * 2.5 * short

@@ -30,7 +30,8 @@ def kept_lines(
     hold loses all its lines but those of the largest doc_id holding it. Documents are counted
     by doc_id, so repeated rows count once; rows without id count as one document, smaller
     than any other. A null or empty text is one empty line. If all lines go, the text is empty.
-    An empty table gives an empty table.
+    An empty table gives an empty table. Columns that are not kept do not matter, so none clashes.
+    Very long texts are taken whole, in time in proportion to their length.
 
     Only hashes of the long lines are shuffled, never the lines: 128 bits of the key, the
     document's id and its text's hash. Counting is combined before each shuffle, and the join
@@ -38,11 +39,15 @@ def kept_lines(
     """
     text = F.coalesce("text", F.lit(""))
     a, b = hash_pair(text)
-    rows = docs.select(F.col("doc_id").alias("__id"), text.alias("__text"))
+    # The text's hashes in a projection of their own: beside the lines they would be taken per line.
+    hashed = docs.select(
+        F.col("doc_id").alias("__id"), text.alias("__text"), a.alias("__ta"), b.alias("__tb")
+    )
     long_lines = (
-        rows.select(
+        hashed.select(
             "__id",
-            *[h.alias(n) for h, n in zip(hash_pair(F.col("__text")), ("__ta", "__tb"), strict=True)],
+            "__ta",
+            "__tb",
             F.posexplode(F.split("__text", "\n", -1)).alias("__pos", "__line"),
         )
         # The key is no longer than the line, and the cheap test spares most short lines.

@@ -5,6 +5,7 @@ import re
 
 import llm_cases as cases
 import numpy as np
+import pytest
 
 from tradewind.llm import outliers, queries
 
@@ -70,33 +71,92 @@ def test_repeats_equal_plain_version():
             assert outliers.repeat_words(ids) == counts(text)[4]
 
 
-def plain_mcd(x, steps=outliers.STEPS):
-    """Concentration steps with an exact sort instead of bins."""
-    mid = np.median(x, axis=0)
-    spread = np.maximum(outliers.FLOORS, np.subtract(*np.quantile(x, [0.75, 0.25], axis=0)) / 1.349)
-    far = (((x - mid) / spread) ** 2).sum(axis=1)
-    for _ in range(steps):
-        inner = x[np.argsort(far, kind="stable")[: int(np.ceil(outliers.COVERAGE * len(x)))]]
-        mean = inner.mean(axis=0)
-        cov = np.cov(inner.T, bias=True) * outliers.CONSISTENCY + np.diag(outliers.FLOORS**2)
+def plain_mcd(x, floor, starts):
+    """Several starts and concentration steps, with an exact sort instead of bins."""
+
+    def step(mean, cov):
         off = x - mean
         far = np.einsum("ij,jk,ik->i", off, np.linalg.inv(cov), off)
-    return mean, cov
+        inner = x[np.argsort(far, kind="stable")[: int(np.ceil(outliers.COVERAGE * len(x)))]]
+        cov = np.cov(inner.T, bias=True) * outliers.CONSISTENCY
+        return inner.mean(axis=0), cov + np.diag(np.maximum(0, floor - np.diag(cov)))
+
+    found = []
+    for cov in starts:
+        now = (np.zeros(x.shape[1]), cov)
+        for _ in range(outliers.START_STEPS):
+            now = step(*now)
+        found.append(now)
+    now = min(found, key=lambda f: np.linalg.slogdet(f[1])[1])
+    for _ in range(outliers.STEPS):
+        now = step(*now)
+    return now
+
+
+def vectors_of(spark, x, errors):
+    rows = [("c", *map(float, row), *map(float, errors)) for row in x]
+    names = ", ".join(f"{n} double" for n in (*outliers.NAMES, *outliers.ERRORS))
+    return spark.createDataFrame(rows, f"cluster string, {names}").repartition(6)
+
+
+@pytest.mark.parametrize("far", [0, 200, 450])
+def test_estimates_near_plain_version(spark, far):
+    """Rows far away, all on one side, move neither; up to nearly a quarter of all."""
+    pick = np.random.default_rng(1)
+    mixed = np.eye(outliers.D) + 0.4 * pick.normal(0, 1, (outliers.D, outliers.D))
+    x = pick.normal(0, 1, (2000, outliers.D)) @ mixed
+    x[:far] += 9
+    x[:, 3] = 0
+    errors = np.full(outliers.D, 0.05)
+    found = outliers.estimates(vectors_of(spark, x, errors)).first()
+    bent, length = np.tanh(x), np.linalg.norm(x, axis=1, keepdims=True) + 1e-9
+    starts = [np.eye(outliers.D)]
+    for way in (bent, x / length):
+        cov = way.T @ way
+        scale = np.sqrt(np.maximum(np.diag(cov), 1e-12))
+        starts.append(cov / np.outer(scale, scale) + 0.05 * np.eye(outliers.D))
+    mean, cov = plain_mcd(x, errors, starts)
+    whiten = np.array(found.whiten).reshape(outliers.D, outliers.D)
+    assert np.allclose(found.mean, mean, atol=0.08)
+    assert np.allclose(np.linalg.inv(whiten.T @ whiten), cov, rtol=0.1, atol=0.08)
+    # The true values, without the far rows.
+    assert np.allclose(np.delete(found.mean, 3), 0, atol=0.25)
 
 
-def test_estimates_near_plain_version(spark):
-    """A tenth of the rows far away moves neither."""
-    pick = np.random.default_rng(1)
-    x = pick.normal(0, 1, (2000, outliers.D)) @ np.diag([0.5, 1, 0.7, 1, 1.5, 0.2])
-    x[:200] += 30
-    rows = [("c", *map(float, row)) for row in x]
-    names = ", ".join(f"{n} double" for n in outliers.NAMES)
-    found = outliers.estimates(spark.createDataFrame(rows, f"cluster string, {names}")).first()
-    mean, cov = plain_mcd(x)
+def test_distances_follow_chi_squared(spark):
+    """Of normal rows about the tail's share lies beyond the limit, not far less."""
+    x = np.random.default_rng(3).normal(0, 1, (20_000, outliers.D))
+    found = outliers.estimates(vectors_of(spark, x, np.full(outliers.D, 0.01))).first()
     whiten = np.array(found.whiten).reshape(outliers.D, outliers.D)
-    assert np.allclose(found.mean, mean, atol=0.05)
-    assert np.allclose(np.linalg.inv(whiten.T @ whiten), cov, rtol=0.1, atol=0.02)
-    assert np.allclose(found.mean, 0, atol=0.15)
+    far = (((x - found.mean) @ whiten.T) ** 2).sum(axis=1)
+    assert 4.9 < np.median(far) < 5.8
+    assert 0.2 * outliers.TAIL < (far > outliers.LIMIT).mean() < 4 * outliers.TAIL
+
+
+def altered(text, kind):
+    """A clean text made one of the kinds that no person would write."""
+    pick, words = random.Random(len(text)), text.split()
+    change = {
+        "digits": lambda i, w: str(pick.randrange(10**5)) if i % 2 else w,
+        "marks": lambda i, w: w + "!",
+        "capitals": lambda i, w: w.upper() if i % 2 else w,
+        "symbols": lambda i, w: w + "#",
+    }[kind]
+    return " ".join(change(i, w) for i, w in enumerate(words))
+
+
+@pytest.mark.parametrize("kind", ["digits", "marks", "capitals", "symbols"])
+def test_altered_texts_are_rejected(spark, kind):
+    """Texts of every length, a tenth of them altered, the others with a number or a symbol here and there."""
+    rows = []
+    for i in range(400):
+        text = cases.prose(7000 + i, 60 + 3 * i)
+        if i % 7 == 0:
+            text += " call 555 0199 23 now & again"
+        rows.append((i, altered(text, kind) if i % 10 == 5 else text, "en", "news", 1))
+    kept = {r.doc_id: r.kept for r in outliers.judged(cases.table(spark, rows)).collect()}
+    assert not any(kept[i] for i in kept if i % 10 == 5)
+    assert sum(kept[i] for i in kept if i % 10 != 5) >= 0.99 * 360
 
 
 def test_chi_squared():

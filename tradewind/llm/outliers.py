@@ -18,26 +18,22 @@ MARKS = ".,!?;:"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
-# Transformed statistics, each with the least spread that counts as usual for it. Most texts
-# have no symbols at all, say; without a least spread a single one would be an outlier.
-DIMENSIONS = {
-    "log_word_length": 0.06,
-    "log_symbols": 0.35,
-    "log_marks": 0.25,
-    "log_capitals": 0.35,
-    "log_digits": 0.6,
-    "variety": 0.03,
-}
-NAMES = tuple(DIMENSIONS)
-FLOORS = np.array(list(DIMENSIONS.values()))
+# Transformed statistics of a text.
+NAMES = (
+    "log_word_length", "log_symbols", "log_marks", "log_capitals", "log_digits", "variety",
+)
 D = len(NAMES)
-# Share of each group that the estimates rest on, and C-steps taken.
+ERRORS = tuple(f"error_{name}" for name in NAMES)
+# Share of each group that the estimates rest on; C-steps of every start, and then of the best.
 COVERAGE = 0.75
-STEPS = 6
+START_STEPS = 2
+STEPS = 4
 # Groups with fewer documents are pooled per language, and then overall.
 MIN_GROUP = 100
 # Chance that an ordinary document of a normal distribution is rejected.
-TAIL = 1e-11
+TAIL = 1e-3
+# Digits come in numbers of about so many.
+NUMBER_DIGITS = 10
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 FURTHER = ("n_marks", "n_capitals", "n_digits", "n_distinct")
@@ -114,6 +110,28 @@ def statistics() -> dict[str, Column]:
     }
 
 
+def sampling_errors() -> dict[str, Column]:
+    """What the length of a text alone makes each statistic vary by, as expressions.
+
+    A short text says little about its rates. Counts vary as independent events do, one more than
+    there are, so that the first symbol of a text is no surprise; digits come in whole numbers.
+    """
+    words, chars = F.greatest("n_words", F.lit(1)), F.greatest("word_chars", F.lit(1))
+
+    def of_rate(count: str, of: Column, offset: float, each: int = 1) -> Column:
+        return F.sqrt(each * (F.col(count) + each)) / of / (F.col(count) / of + offset)
+
+    errors = (
+        0.5 / F.sqrt(words),
+        of_rate("n_symbols", words, 0.02),
+        of_rate("n_marks", words, 0.05),
+        of_rate("n_capitals", chars, 0.02),
+        of_rate("n_digits", chars, 0.02, NUMBER_DIGITS),
+        0.15 / F.sqrt(words),
+    )
+    return dict(zip(ERRORS, errors, strict=True))
+
+
 def chi2_tail(x: float, freedom: int) -> float:
     """Survival function of the chi-squared distribution with an even number of degrees."""
     half = x / 2
@@ -164,8 +182,15 @@ def _group_names(usable: DataFrame) -> DataFrame:
     )
 
 
+SOLVED = "cluster string, start int, mean array<double>, whiten array<double>, volume double"
+
+
 def _solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sums of one cluster per row in, centre and whitening matrix out."""
+    """Sums of one cluster and start per row in; centre, whitening matrix and log determinant out.
+
+    A statistic that hardly varies in the inner part is given the variance that sampling alone
+    makes: the least that keeps the matrix regular without calling a single event an outlier.
+    """
     for batch in batches:
         rows = []
         for row in batch.itertuples(index=False):
@@ -174,10 +199,16 @@ def _solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             cov = np.zeros((D, D))
             for i, j in PAIRS:
                 cov[i, j] = cov[j, i] = getattr(row, f"p{i}_{j}") / n - mean[i] * mean[j]
-            cov = cov * CONSISTENCY + np.diag(FLOORS**2)
-            whiten = np.linalg.inv(np.linalg.cholesky(cov))
-            rows.append((row.cluster, mean.tolist(), whiten.ravel().tolist()))
-        yield pd.DataFrame(rows, columns=["cluster", "mean", "whiten"])
+            rows.append((row.cluster, row.start, mean.tolist(), *_whitening(cov, row.floor)))
+        yield pd.DataFrame(rows, columns=["cluster", "start", "mean", "whiten", "volume"])
+
+
+def _whitening(cov: np.ndarray, floor: np.ndarray) -> tuple[list[float], float]:
+    """Whitening matrix and log determinant of an inner part's covariance, made consistent."""
+    cov = cov * CONSISTENCY
+    cov = cov + np.diag(np.maximum(0, np.asarray(floor) - np.diag(cov)) + 1e-9)
+    lower = np.linalg.cholesky(cov)
+    return np.linalg.inv(lower).ravel().tolist(), float(2 * np.log(np.diag(lower)).sum())
 
 
 def _distance(mean: Column, whiten: Column) -> Column:
@@ -189,9 +220,9 @@ def _distance(mean: Column, whiten: Column) -> Column:
     return sum((r * r for r in rows), F.lit(0.0))
 
 
-def _first_estimates(vectors: DataFrame) -> DataFrame:
-    """Medians and half-spreads per cluster, from counts in fine bins: exact to the bin."""
-    width = 0.01
+def scales(vectors: DataFrame) -> DataFrame:
+    """Median and half-spread of the statistics per cluster, from counts in fine bins."""
+    width = 0.002
     bins = (
         vectors.select(
             "cluster",
@@ -210,76 +241,149 @@ def _first_estimates(vectors: DataFrame) -> DataFrame:
 
     def summarise(group: pd.DataFrame) -> pd.DataFrame:
         # One cluster's bins: their number is bounded by the range of the statistics.
-        mean, scale = np.zeros(D), FLOORS.copy()
+        middle, spread = np.zeros(D), np.zeros(D)
         for dim, part in group.groupby("dim"):
             part = part.sort_values("bin")
             share = part["n"].cumsum() / part["n"].sum()
             at = lambda q, p=part, s=share: (p["bin"][s >= q].iloc[0] + 0.5) * width
-            mean[dim] = at(0.5)
-            scale[dim] = max(FLOORS[dim], (at(0.75) - at(0.25)) / 1.349)
-        whiten = np.diag(1 / scale).ravel().tolist()
-        return pd.DataFrame([(group["cluster"].iloc[0], mean.tolist(), whiten)])
+            middle[dim] = at(0.5)
+            spread[dim] = (at(0.75) - at(0.25)) / 1.349
+        return pd.DataFrame([(group["cluster"].iloc[0], middle.tolist(), spread.tolist())])
 
     return bins.groupBy("cluster").applyInPandas(
-        summarise, "cluster string, mean array<double>, whiten array<double>"
+        summarise, "cluster string, middle array<double>, spread array<double>"
     )
 
 
-def estimates(vectors: DataFrame) -> DataFrame:
-    """Minimum-covariance-determinant centre and whitening matrix per cluster.
+def standardised(vectors: DataFrame, scaled: DataFrame) -> DataFrame:
+    """Statistics as deviations from their cluster's median, in the spread that a text of that
+    length has; errors as the part of that spread's variance that sampling makes."""
+    joined = vectors.join(scaled.withColumnRenamed("cluster", "__of"), F.col("cluster") == F.col("__of"), "left")
+    columns = {}
+    for i, (name, error) in enumerate(zip(NAMES, ERRORS, strict=True)):
+        variance = F.pow(F.col("spread")[i], 2) + F.pow(error, 2)
+        columns[name] = (F.col(name) - F.col("middle")[i]) / F.sqrt(variance)
+        columns[error] = F.pow(error, 2) / variance
+    return joined.withColumns(columns).drop("__of", "middle", "spread")
+
 
-    Starts from medians and quartiles and takes concentration steps: the ``COVERAGE`` share of
-    a cluster's documents nearest the present centre gives the next mean and covariance. Each
-    step is two map-side combined aggregations over all vectors, so a cluster with a third of
-    all rows is never gathered. The cut is exact to a bin of two percent of the distance.
+def _starts(vectors: DataFrame) -> DataFrame:
+    """Three estimates to start from, per cluster, none of which far rows can pull away.
+
+    Deviations as they are; their correlation when each is bent by tanh; and the covariance of
+    directions from the median. One combined aggregation over all vectors.
     """
-    now = stored(_first_estimates(vectors), "quality-start")
-    for _ in range(STEPS):
-        far = vectors.join(now, "cluster").select(
-            "cluster",
-            *NAMES,
-            F.floor(F.log(_distance(F.col("mean"), F.col("whiten")) + 1e-6) * 50).alias("bin"),
-        )
-        shares = far.groupBy("cluster", "bin").agg(F.count("*").alias("n"))
+    columns = [F.col(name) for name in NAMES]
+    length = F.sqrt(sum((c * c for c in columns), F.lit(1e-12)))
+    ways = {"t": [F.tanh(c) for c in columns], "d": [c / length for c in columns]}
+    sums = vectors.groupBy("cluster").agg(
+        *[
+            F.sum(way[i] * way[j]).alias(f"{key}{i}_{j}")
+            for key, way in ways.items()
+            for i, j in PAIRS
+        ],
+        F.array(*[F.avg(error) for error in ERRORS]).alias("floor"),
+    )
 
-        def cut(group: pd.DataFrame) -> pd.DataFrame:
-            group = group.sort_values("bin")
-            need = math.ceil(COVERAGE * group["n"].sum())
-            edge = group["bin"][group["n"].cumsum() >= need].iloc[0]
-            return pd.DataFrame([(group["cluster"].iloc[0], edge)])
+    names = tuple(ways)
+
+    def start(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for row in batch.itertuples(index=False):
+                whitens = [np.eye(D)]
+                for key in names:
+                    cov = np.zeros((D, D))
+                    for i, j in PAIRS:
+                        cov[i, j] = cov[j, i] = getattr(row, f"{key}{i}_{j}")
+                    scale = np.sqrt(np.maximum(np.diag(cov), 1e-12))
+                    # Unit variances, as the deviations have; a little more keeps it regular.
+                    unit = cov / np.outer(scale, scale) + 0.05 * np.eye(D)
+                    whitens.append(np.linalg.inv(np.linalg.cholesky(unit)))
+                rows += [
+                    (row.cluster, at, [0.0] * D, whiten.ravel().tolist(), list(row.floor))
+                    for at, whiten in enumerate(whitens)
+                ]
+            yield pd.DataFrame(rows, columns=["cluster", "start", "mean", "whiten", "floor"])
+
+    kind = "cluster string, start int, mean array<double>, whiten array<double>, floor array<double>"
+    return stored(sums.mapInPandas(start, kind), "quality-starts")
+
+
+def _concentrated(vectors: DataFrame, now: DataFrame) -> DataFrame:
+    """One C-step of every cluster and start: centre and covariance of the nearest share.
+
+    Two map-side combined aggregations over all vectors. The cut is exact to a bin of two
+    percent of the distance.
+    """
+    by = ("cluster", "start")
+    far = vectors.join(now, "cluster").select(
+        *by,
+        "floor",
+        *NAMES,
+        F.floor(F.log(_distance(F.col("mean"), F.col("whiten")) + 1e-6) * 50).alias("bin"),
+    )
+    shares = far.groupBy(*by, "bin").agg(F.count("*").alias("n"))
 
-        edges = stored(
-            shares.groupBy("cluster").applyInPandas(cut, "cluster string, edge long"),
-            "quality-edges",
-        )
-        sums = (
-            far.join(edges, "cluster")
-            .filter("bin <= edge")
-            .groupBy("cluster")
-            .agg(
-                F.count("*").alias("n"),
-                *[F.sum(name).alias(f"s{i}") for i, name in enumerate(NAMES)],
-                *[
-                    F.sum(F.col(NAMES[i]) * F.col(NAMES[j])).alias(f"p{i}_{j}")
-                    for i, j in PAIRS
-                ],
-            )
-        )
-        now = stored(
-            sums.mapInPandas(_solve, "cluster string, mean array<double>, whiten array<double>"),
-            "quality-step",
+    def cut(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("bin")
+        need = math.ceil(COVERAGE * group["n"].sum())
+        edge = group["bin"][group["n"].cumsum() >= need].iloc[0]
+        return pd.DataFrame([(group["cluster"].iloc[0], group["start"].iloc[0], edge)])
+
+    edges = stored(
+        shares.groupBy(*by).applyInPandas(cut, "cluster string, start int, edge long"),
+        "quality-edges",
+    )
+    sums = (
+        far.join(edges, list(by))
+        .filter("bin <= edge")
+        .groupBy(*by)
+        .agg(
+            F.count("*").alias("n"),
+            F.first("floor").alias("floor"),
+            *[F.sum(name).alias(f"s{i}") for i, name in enumerate(NAMES)],
+            *[F.sum(F.col(NAMES[i]) * F.col(NAMES[j])).alias(f"p{i}_{j}") for i, j in PAIRS],
         )
-    return now
+    )
+    floors = now.select(*by, "floor")
+    return stored(sums.mapInPandas(_solve, SOLVED).join(floors, list(by)), "quality-step")
+
+
+def estimates(vectors: DataFrame) -> DataFrame:
+    """Minimum-covariance-determinant centre and whitening matrix per cluster.
+
+    ``vectors`` are :func:`standardised`. From three robust starts, ``START_STEPS`` concentration
+    steps are taken: the ``COVERAGE`` share of a cluster's documents nearest the present centre gives the next
+    mean and covariance. The start with the least determinant then takes ``STEPS`` more. All are
+    map-side combined aggregations over all vectors, so a cluster with a third of all
+    rows is never gathered.
+    """
+    now = _starts(vectors)
+    for _ in range(START_STEPS):
+        now = _concentrated(vectors, now)
+    others = [F.col(c) for c in now.columns if c != "cluster"]
+    best = now.groupBy("cluster").agg(
+        F.min_by(F.struct(*others), F.struct("volume", "start")).alias("best")
+    )
+    now = stored(best.select("cluster", "best.*"), "quality-best")
+    for _ in range(STEPS):
+        now = _concentrated(vectors, now)
+    return now.select("cluster", "mean", "whiten")
 
 
 def judged(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One row per document: ``keep`` columns, the counts, ``base_failed``, ``distance``, ``kept``.
 
     A null text counts as empty and fails the base rule. Null languages and sources are values
-    of their own. ``distance`` is the squared Mahalanobis distance to the document's cluster,
-    null where fewer than ``MIN_GROUP`` documents could be pooled; such documents are kept.
-    Only documents that pass the base rule enter the estimates. Repeated rows count each. An
-    empty table gives an empty table.
+    of their own. ``distance`` is the squared Mahalanobis distance to the document's cluster, in the
+    spread that texts of its length have. Documents beyond the point that a normal distribution
+    exceeds with chance ``TAIL`` are rejected. A cluster is a language and source with ``MIN_GROUP``
+    documents that pass the base rule; smaller ones are judged with their language's, then
+    all small ones together. Where fewer than ``MIN_GROUP`` could be pooled ``distance`` is null, and
+    the document is kept. Only documents that pass the base rule enter the estimates. Repeated rows
+    count each. An empty table gives an empty table. Very long texts are counted whole. Columns that
+    are not kept, but for text, lang and source, do not matter, so none clashes.
     """
     text = F.coalesce("text", F.lit(""))
     counts = docs.select(
@@ -292,7 +396,8 @@ def judged(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
     )
     every = stored(
-        counts.withColumn("base_failed", failed).withColumns(statistics()), "quality-counts"
+        counts.withColumn("base_failed", failed).withColumns(statistics() | sampling_errors()),
+        "quality-counts",
     )
     usable = every.filter("NOT base_failed")
     clusters = _group_names(usable)
@@ -301,14 +406,15 @@ def judged(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
         F.col("__source")
     )
     placed = every.join(named, of_cluster, "left").drop("__lang", "__source")
-    vectors = stored(
-        placed.filter("NOT base_failed AND cluster IS NOT NULL").select("cluster", *NAMES),
-        "quality-vectors",
+    vectors = placed.filter("NOT base_failed AND cluster IS NOT NULL").select(
+        "cluster", *NAMES, *ERRORS
     )
-    centres = estimates(vectors)
+    scaled = stored(scales(vectors), "quality-scales")
+    centres = estimates(stored(standardised(vectors, scaled), "quality-vectors"))
     distance = _distance(F.col("mean"), F.col("whiten"))
     return (
-        placed.join(centres, "cluster", "left")
+        standardised(placed, scaled)
+        .join(centres, "cluster", "left")
         .withColumn("distance", distance)
         .withColumn(
             "kept", ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= LIMIT)

@@ -88,19 +88,79 @@ def test_shared_lines_go_and_prose_stays(spark):
     assert got[8] == got[9] == "" and got[10] == "odd url"
 
 
-def test_nearest_path_is_the_partner(spark):
+def test_nearest_paths_are_the_partners(spark, monkeypatch):
     def page(*lines):
         return "".join(f"<div>{line}</div>" for line in lines)
 
-    got = extracted(
-        spark,
+    rows = [
         (1, "http://h/news/a", page("news head", "one")),
         (2, "http://h/news/b", page("news head", "two")),
         (3, "http://h/shop/c", page("shop head", "two")),
         (4, "http://h/shop/d", page("shop head", "four")),
-    )
+    ]
+    got = extracted(spark, *rows)
+    # One of three partners has the line: another version of a text would have most.
+    assert got == {1: "news head one", 2: "news head two", 3: "shop head two", 4: "shop head four"}
+    monkeypatch.setattr(pages, "VOTES", 1)
+    assert extracted(spark, *rows) == {1: "one", 2: "", 3: "", 4: "four"}
+    monkeypatch.setattr(pages, "PARTNERS", 1)
     # Page 2 is nearer to 1 than to 3, whose second line it has.
-    assert got == {1: "one", 2: "two", 3: "two", 4: "four"}
+    assert extracted(spark, *rows) == {1: "one", 2: "two", 3: "two", 4: "four"}
+
+
+def plain_partners(rows, at):
+    """Over a whole host: every page sorted, then as the docstring says."""
+    host = lambda i: rows[i][1].split("/")[2]
+    path = lambda i: rows[i][1].split(host(i), 1)[1]
+    lines = {i: rows[i][2] for i in range(len(rows))}
+    same = sorted((i for i in range(len(rows)) if host(i) == host(at)), key=lambda i: (path(i), i))
+    different, seen = [], set()
+    for i in same:
+        if lines[i] not in seen:
+            seen.add(lines[i])
+            different.append(i)
+    own = next(i for i in different if lines[i] == lines[at])
+    place = different.index(own)
+    near = different[max(0, place - pages.REACH) : place] + different[place + 1 : place + 1 + pages.REACH]
+    agree = lambda i: len(__import__("os").path.commonprefix([path(i), path(own)]))
+    return sorted(near, key=lambda i: (-agree(i), abs(different.index(i) - place), different.index(i)))[: pages.PARTNERS]
+
+
+@pytest.mark.parametrize("block_pages", [64, 9])
+def test_partners_over_a_host_equal_plain_version(spark, monkeypatch, block_pages):
+    """Hundreds of pages of three hosts with many copies; lines go if one of the partners has them."""
+    for name, value in (("BLOCK_PAGES", block_pages), ("REACH", 12), ("PARTNERS", 7)):
+        monkeypatch.setattr(pages, name, value)
+    pick, rows = random.Random(5), []
+    for i in range(220):
+        path = f"/{pick.choice(['news', 'shop', 'x'])}/{pick.randrange(60)}/{pick.choice('abc')}{i:03d}"
+        lines = [f"top {pick.randrange(3)}", f"own {pick.randrange(150)}", f"end {pick.randrange(4)}"]
+        rows.append((i, f"http://h{i % 3}{path}", "".join(f"<div>{t}</div>" for t in lines)))
+    rows += [(500 + i, f"{rows[i % 7][1]}?copy={i}", rows[i % 7][2]) for i in range(60)]
+    got = extracted(spark, *rows)
+    texts = lambda i: [t for _, t in pages.lines_of(rows[i][2])]
+    for at, (page_id, *_) in enumerate(rows):
+        own, near = texts(at), plain_partners(rows, at)
+        found = [i for other in near for i in pages.common_lines(own, texts(other))]
+        left = [t for i, t in enumerate(own) if found.count(i) < max(1, min(2, len(near)))]
+        assert got[page_id] == " ".join(left), rows[at]
+
+
+def test_copies_share_one_text(spark):
+    """Groups of copies, all but the outer two between copies, beside other pages of the host."""
+    page = lambda own: f"<div>menu</div><div>{own}</div><div>foot</div>"
+    rows = [(i, f"http://h/p?page={i}", page("copied")) for i in range(30)]
+    rows += [(100, "http://h/a", page("first")), (101, "http://h/z", page("last"))]
+    got = extracted(spark, *rows)
+    assert {got[i] for i in range(30)} == {"copied"} and got[100] == "first" and got[101] == "last"
+
+
+def test_differencing_removes_furniture_first(spark):
+    """Of the given pages a share of the furniture goes before layout is asked, and no prose."""
+    given = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    counts = {r.kind: (r.lines, r.shared) for r in pages.removed_lines(given).collect()}
+    lines, shared = counts["furniture"]
+    assert shared > 0.05 * lines and counts["prose"][1] == 0
 
 
 def plain_length(a, b):

@@ -58,6 +58,14 @@ ATTRIBUTE = re.compile(
     r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|\b(hidden)\b""", re.IGNORECASE
 )
 WORDS = re.compile(r"[a-z]+")
+# Each page is compared with so many pages of its host, of those so many places before and after in the
+# order of URLs; the order is cut into blocks of so many pages.
+PARTNERS = 16
+REACH = 16
+BLOCK_PAGES = 256
+# A line is shared if so many of the partners have it, or the only partner: a single page
+# that has most of the lines may be another version of the same text. Of what looks like furniture one is enough.
+VOTES = 2
 # Longest common subsequences of this many line pairs are traced at once.
 TRACE_CELLS = 1 << 28
 
@@ -293,66 +301,60 @@ def _agreement(a: str, b: str) -> int:
     return len(os.path.commonprefix((a, b)))
 
 
-def shared_lines(
-    path: pd.Series,
-    own: pd.Series,
-    kinds: pd.Series,
-    before: pd.Series,
-    before_lines: pd.Series,
-    after: pd.Series,
-    after_lines: pd.Series,
-) -> pd.Series:
-    """Which lines of each page go because its partner has them too."""
+def partners(paths: list[str], at: int, same_host: list[bool]) -> list[int]:
+    """The nearest pages to the one at a place of the URL order, nearest first.
+
+    Of ``REACH`` places before and after, on the same host, the ``PARTNERS`` whose paths agree
+    longest from the start; of equals the closest, then the one before.
+    """
+    near = range(max(0, at - REACH), min(len(paths), at + REACH + 1))
+    found = [
+        (-_agreement(paths[at], paths[i]), abs(i - at), i) for i in near if i != at and same_host[i]
+    ]
+    return [i for *_, i in sorted(found)[:PARTNERS]]
+
+
+FLAGS = "__page struct<a:bigint,b:bigint>, shared array<boolean>"
+
+
+def _differenced(block: pd.DataFrame) -> pd.DataFrame:
+    """Shared lines of the pages that a block owns; it also has the pages around them."""
+    block = block.sort_values("__rank", ignore_index=True)
+    hosts, paths = block["host"].to_numpy(), block["path"].tolist()
+    lines = [list(digests) for digests in block["digests"]]
     out = []
-    sides = zip(before, before_lines, after, after_lines, strict=True)
-    for p, lines, kind, (b, b_lines, a, a_lines) in zip(path, own, kinds, sides, strict=True):
-        lines, kind = list(lines), np.array(kind, np.int64)
-        near = [
-            (-_agreement(p, other), i, list(found))
-            for i, (other, found) in enumerate(((b, b_lines), (a, a_lines)))
-            if other is not None and list(found) != lines
-        ]
-        flags = np.zeros(len(lines), bool)
-        if near:
-            flags[common_lines(lines, min(near)[2])] = True
-        article = np.isin(kind, (PROSE, BLOCK)).any()
-        out.append((flags & (kind == (BLOCK if article else LOOSE))).tolist())
-    return pd.Series(out)
+    for at in np.flatnonzero(block["own"]).tolist():
+        votes = np.zeros(len(lines[at]), np.int64)
+        near = partners(paths, at, (hosts == hosts[at]).tolist())
+        for other in near:
+            votes[common_lines(lines[at], lines[other])] += 1
+        kinds = np.array(block["kinds"][at], np.int64)
+        flags = votes >= np.where(kinds == FURNITURE, 1, max(1, min(VOTES, len(near))))
+        # A sentence of an article that another page has too belongs to both.
+        flags &= kinds != PROSE
+        out.append((block["__page"][at], flags.tolist()))
+    return pd.DataFrame(out, columns=["__page", "shared"])
 
 
 def nearest_shared(keyed: DataFrame) -> DataFrame:
-    """(__row, shared) for the pages (__row, host, path, digests, kinds) with lines to delete.
+    """(__page, shared) for pages (__page, host, path, digests, kinds), no two of them with the
+    same lines on one host: which lines the nearest pages share, prose of articles left out.
 
-    Pages are sorted by host and path. Of the page before and the one after on the same host,
-    the partner is the one whose path agrees longer from the start, else the one before. Pages
-    with the same lines are no partners: between copies everything is shared. The order is
-    global, so a host with any number of pages is spread over tasks.
+    Pages are sorted by host and path. The order is global and cut into blocks of ``BLOCK_PAGES``
+    that overlap by the ``REACH`` of the search, so a host with any number of pages is spread over tasks
+    and each page is sent once, and a few at the edges twice.
     """
-    order = (F.col("host"), F.col("path"), F.col("__row"))
+    order = (F.col("host"), F.col("path"), F.col("__page"))
     placed = stored(ranked(keyed, *order), "urls")
-
-    def neighbour(shift: int, tag: str) -> DataFrame:
-        return placed.select(
-            (F.col("__rank") + shift).alias("__rank"),
-            F.col("host").alias(f"{tag}_host"),
-            F.col("path").alias(f"{tag}_path"),
-            F.col("digests").alias(f"{tag}_digests"),
-        )
-
-    def side(tag: str) -> list:
-        same = F.col(f"{tag}_host") == F.col("host")
-        return [F.when(same, F.col(f"{tag}_{c}")) for c in ("path", "digests")]
-
-    shared = F.pandas_udf(shared_lines, "array<boolean>")
-    return (
-        placed.join(neighbour(1, "before"), "__rank", "left")
-        .join(neighbour(-1, "after"), "__rank", "left")
-        .select(
-            "__row",
-            shared("path", "digests", "kinds", *side("before"), *side("after")).alias("shared"),
-        )
-        .filter(F.exists("shared", lambda flag: flag))
+    home = F.floor(F.col("__rank") / BLOCK_PAGES).cast("long")
+    reached = F.sequence(
+        *[F.floor((F.col("__rank") + r) / BLOCK_PAGES).cast("long") for r in (-REACH, REACH)]
+    )
+    blocked = placed.withColumn("block", F.explode(reached)).withColumn(
+        "own", F.col("block") == home
     )
+    columns = ("block", "own", "__rank", "__page", "host", "path", "digests", "kinds")
+    return blocked.select(*columns).groupBy("block").applyInPandas(_differenced, FLAGS)
 
 
 def main_texts(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
@@ -361,55 +363,90 @@ def main_texts(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url")) ->
     Each page is cut into lines at its block elements. A line is furniture (menus, page headers,
     footers, sidebars, notices, adverts, forms, comments; by element, class, id or role), prose
     of an article (headings, paragraphs, list items, cells, quotations), another block of an
-    article, or loose, outside any article. Lines are aligned with those of the page of the
-    nearest URL on the host by longest common subsequence, and shared ones are deleted, except
-    prose of an article: a sentence that two articles share belongs to both. Furniture is
-    deleted anyway; loose lines count only where a page has no article.
-
-    ``lines`` has (kind, text, shared) in page order; ``shared`` marks the lines deleted because
-    the partner has them. A null or empty html has no lines and an
-    empty text. A null url is a host of its own. Rows that repeat are pages of the same lines,
-    so neither is the other's partner. An empty table gives an empty table.
+    article, or loose, outside any article. First, lines are aligned with those of the pages of
+    the nearest URLs on the host by longest common subsequence, and those that two of them share (or the
+    only one there is) are deleted, except prose of an article: a sentence that two articles share belongs to both. Layout settles what that
+    leaves open: furniture is deleted, and loose lines count only where a page has no article.
+
+    ``lines`` has (kind, text, shared) in page order; ``shared`` marks those that differencing deletes
+    and layout would not. :func:`removed_lines` counts all that each of the two removes. A null or
+    empty html has no lines and an empty text. A null url is a host of its own. Pages of one host
+    with the same lines, repeated rows among them, count as one page, so copies share one
+    text and are not each other's partners. Very long pages are read whole. An empty table gives an
+    empty table. Columns that are not kept, but for url and html, do not matter, so none clashes.
     """
-    parse = F.pandas_udf(parsed, PARSED)
-    columns = [F.col(c).alias(f"__keep_{i}") for i, c in enumerate(keep)]
-    a, b = hash_pair(*[F.col(c) for c in keep], F.col("html"))
-    read = stored(
-        pages.select(
-            *columns,
-            F.struct(a.alias("a"), b.alias("b")).alias("__row"),
-            parse(F.coalesce("url", F.lit("")), F.coalesce("html", F.lit(""))).alias("page"),
-        ).select(*[f"__keep_{i}" for i in range(len(keep))], "__row", "page.*"),
-        "pages",
+    columns = [F.col(f"__keep_{i}").alias(c) for i, c in enumerate(keep)]
+    read = _read(pages, keep)
+    # Only pages where the flags decide, few as a rule, meet their lines again.
+    article = F.exists("kinds", lambda kind: kind.isin(PROSE, BLOCK))
+    decides = F.exists(
+        F.arrays_zip("kinds", "shared"),
+        lambda z: z["shared"] & (z["kinds"] == F.when(article, BLOCK).otherwise(LOOSE)),
     )
-    # Equal rows are equal pages; one of them stands for all in the order of URLs.
-    kinds = F.transform("lines", lambda line: line["kind"].cast("byte"))
-    narrow = read.select("__row", "host", "path", "digests", kinds.alias("kinds"))
-    unique = narrow.groupBy("__row").agg(
-        *[F.first(c).alias(c) for c in ("host", "path", "digests", "kinds")]
+    shared = stored(
+        _flagged(read).filter(decides).select(F.col("__page").alias("__of"), "shared"), "shared-lines"
     )
-    # Only the pages that lose lines by it, few as a rule, meet their lines again.
-    shared = stored(nearest_shared(unique), "shared-lines").withColumnRenamed("__row", "__of")
     article = F.exists("lines", lambda line: line["kind"].isin(PROSE, BLOCK))
+    left_open = F.when(article, BLOCK).otherwise(LOOSE)
     marked = F.transform(
         "lines",
         lambda line, i: F.struct(
             line["kind"].alias("kind"),
             line["text"].alias("text"),
-            F.coalesce(F.get("shared", i), F.lit(False)).alias("shared"),
+            (F.coalesce(F.get("shared", i), F.lit(False)) & (line["kind"] == left_open)).alias("shared"),
         ),
     )
     stays = F.filter(
         "lines",
-        lambda line: (line["kind"] == PROSE)
-        | (~line["shared"] & (line["kind"] == F.when(article, BLOCK).otherwise(LOOSE))),
+        lambda line: (line["kind"] == PROSE) | (~line["shared"] & (line["kind"] == left_open)),
     )
     return (
-        read.join(shared, F.col("__row") == F.col("__of"), "left")
+        read.join(shared, F.col("__page") == F.col("__of"), "left")
         .withColumn("lines", marked)
         .select(
-            *[F.col(f"__keep_{i}").alias(c) for i, c in enumerate(keep)],
+            *columns,
             F.array_join(F.transform(stays, lambda line: line["text"]), " ").alias("text"),
             "lines",
         )
     )
+
+
+def _read(pages: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    """The parsed pages, stored: kept columns, ``__page`` for what has the same lines on a host."""
+    parse = F.pandas_udf(parsed, PARSED)
+    columns = [F.col(c).alias(f"__keep_{i}") for i, c in enumerate(keep)]
+    names = [f"__keep_{i}" for i in range(len(keep))]
+    page = pages.select(
+        *columns, parse(F.coalesce("url", F.lit("")), F.coalesce("html", F.lit(""))).alias("page")
+    ).select(*names, "page.*")
+    a, b = hash_pair(F.col("host"), F.col("digests"))
+    return stored(
+        page.withColumn("__page", F.struct(a.alias("a"), b.alias("b"))), "pages"
+    )
+
+
+def _flagged(read: DataFrame) -> DataFrame:
+    """(__page, kinds, shared) for every different page that has lines."""
+    kinds = F.transform("lines", lambda line: line["kind"].cast("byte"))
+    narrow = read.filter(F.size("digests") > 0).select(
+        "__page", "host", "path", "digests", kinds.alias("kinds")
+    )
+    # Copies are merged before the shuffle; the first path of them stands for all.
+    others = F.struct(F.col("path"), F.col("kinds"), F.col("host"), F.col("digests"))
+    unique = narrow.groupBy("__page").agg(F.min(others).alias("one")).select("__page", "one.*")
+    flags = nearest_shared(unique).withColumnRenamed("__page", "__of")
+    return unique.join(flags, F.col("__page") == F.col("__of")).select("__page", "kinds", "shared")
+
+
+def removed_lines(pages: DataFrame) -> DataFrame:
+    """Lines of different pages by ``kind``: ``lines`` in all, and ``shared``, which
+    differencing deletes before layout is looked at."""
+    read = _read(pages, ())
+    line = F.explode(F.arrays_zip("kinds", "shared")).alias("line")
+    names = F.array(*map(F.lit, ("furniture", "prose", "block", "loose")))
+    return (
+        _flagged(read)
+        .select(line)
+        .groupBy(F.get(names, F.col("line.kinds").cast("int")).alias("kind"))
+        .agg(F.count("*").alias("lines"), F.count_if("line.shared").alias("shared"))
+    )

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import llm_cases as cases
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tradewind.llm import mixing, queries
 
@@ -135,3 +136,45 @@ def test_empty_table(spark):
     assert mixing.mixture(cases.empty(spark)).collect() == []
     wordless = cases.table(spark, [(1, None, "", "a", 1), (2, "", "", None, 1)])
     assert [r.taken for r in mixing.taken_words(wordless).collect()] == [0, 0]
+
+
+def test_small_sources_beside_a_large_one_stay_one_bucket(spark):
+    units = spark.range(30_000).selectExpr(
+        "CASE WHEN id % 3 > 0 THEN 'hot' WHEN id % 2 = 0 THEN NULL ELSE concat('s', id % 2000) END AS source",
+        "id % 50 AS size", "id AS ua", "id * 7 AS ub", "1L AS un", "0.3D AS chance",
+    )
+    placed, most = mixing.dealt(units, 0, 500)
+    groups = {(r.source, r.bucket): (r.n, r.last) for r in placed.groupBy("source", "bucket").agg(
+        F.count("*").alias("n"), F.first("last").alias("last")).collect()}
+    assert sum(n for n, _ in groups.values()) == 30_000 and most == 40
+    assert max(n for n, _ in groups.values()) < 1000
+    sources = {s for s, _ in groups}
+    assert len(groups) <= len(sources) + 40 + 10
+    assert all(last for (s, _), (_, last) in groups.items() if s and s != "hot")
+    moved = mixing.decided(units, 500)
+    assert {r.chance for r in moved.select(F.round("chance", 6).alias("chance")).distinct().collect()} <= {0.0, 1.0}
+    sums = {r.source: (r.n, r.taken) for r in moved.groupBy("source").agg(
+        F.count("*").alias("n"), F.sum("chance").alias("taken")).collect()}
+    assert all(abs(taken - 0.3 * n) <= 8 for n, taken in sums.values())
+
+
+def best_rounding(size, chance):
+    """The least miss in words over all roundings that keep the number of documents to one."""
+    from itertools import product
+
+    aim, count = (chance * size).sum(), chance.sum()
+    return min(
+        abs(np.dot(pick, size) - aim)
+        for pick in product((0, 1), repeat=len(size))
+        if abs(sum(pick) - count) <= 7
+    )
+
+
+def test_landing_equals_all_roundings():
+    pick = np.random.default_rng(5)
+    for _ in range(40):
+        n = int(pick.integers(1, 11))
+        size, chance = pick.integers(0, 60, n), pick.random(n)
+        landed = mixing.landing(chance, size)
+        missed = abs((landed * size).sum() - (chance * size).sum())
+        assert missed <= best_rounding(size, chance) + max(1.0, 0.02 * size.sum())

@@ -136,11 +136,11 @@ UNIT = "source string, size long, ua long, ub long, un long, chance double"
 UNIT_NAMES = [part.split()[0] for part in UNIT.split(", ")]
 
 
-def _move(level: int, last: bool):
+def _move(level: int):
     """Task body: one bucket of one source's units through the flight, or the landing too."""
 
     def run(units: pd.DataFrame) -> pd.DataFrame:
-        units = units.sort_values(["ua", "ub", "un"], kind="stable")
+        units, last = units.sort_values(["ua", "ub", "un"], kind="stable"), units["last"].iloc[0]
         size = units["size"].to_numpy()
         key = (level, int(units["ua"].iloc[0]), int(units["ub"].iloc[0]), len(units))
         moved = flight(units["chance"].to_numpy(), size, key, LANDING if last else 0)
@@ -150,27 +150,40 @@ def _move(level: int, last: bool):
     return run
 
 
+def dealt(units: DataFrame, level: int, bucket_rows: int = BUCKET_ROWS) -> tuple[DataFrame, int]:
+    """Units with their ``bucket`` and whether it is the ``last`` of its source, and the most
+    buckets that a source has.
+
+    Each source is cut by its own count, so a small source beside a large one stays one bucket.
+    The counts, one row per source, are stored, so that their size is known to the join.
+    """
+    counts = units.groupBy(F.col("source").alias("__source")).agg(
+        F.ceil(F.count("*") / bucket_rows).alias("cuts")
+    )
+    counts = stored(counts, "cuts")
+    placed = (
+        units.join(counts, F.col("source").eqNullSafe(F.col("__source")))
+        .withColumn("bucket", F.pmod(F.xxhash64("ua", "ub", "un", F.lit(level)), F.col("cuts")))
+        .withColumn("last", F.col("cuts") == 1)
+        .drop("__source", "cuts")
+    )
+    return placed, counts.agg(F.max("cuts")).first()[0] or 0
+
+
 def decided(units: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Units (source, size, ua, ub, un, chance) with ``chance`` moved to 0 or 1.
 
     The flight runs in hash buckets of each source, so a source with a third of all documents
     is spread over tasks. Each bucket leaves two fractional units at most; they meet in the
-    buckets of the next level, until one small bucket per source is left to land.
+    buckets of the next level. A source lands when it is one bucket.
     """
     done, open_, level = [], stored(units, "units"), 0
     while True:
-        largest = (
-            open_.groupBy("source").count().agg(F.max("count")).first()[0] or 0
-        )
-        last = largest <= bucket_rows
-        # Whole buckets per source, from its own count, would need a join; the largest source
-        # sets the number, and smaller sources have smaller buckets.
-        cuts = -(-largest // bucket_rows) if not last else 1
-        bucket = F.pmod(F.xxhash64("ua", "ub", "un", F.lit(level)), F.lit(cuts)).alias("bucket")
+        placed, most = dealt(open_, level, bucket_rows)
         moved = stored(
-            open_.groupBy("source", bucket).applyInPandas(_move(level, last), UNIT), "flight"
+            placed.groupBy("source", "bucket").applyInPandas(_move(level), UNIT), "flight"
         )
-        if last:
+        if most <= 1:
             done.append(moved)
             break
         fractional = (F.col("chance") > EPSILON) & (F.col("chance") < 1 - EPSILON)
@@ -243,7 +256,9 @@ def mixture(docs: DataFrame) -> DataFrame:
     documents and words come as near to their expectation as the landing of the last few
     documents allows. A null source is a source of its own. A null text has no words; it follows its
     source's documents, and stays out where the source has no words at all. Equal rows share
-    copies. The choice depends on the rows' content only, so reruns agree.
+    copies. The choice depends on the rows' content only, so reruns agree. Very long texts are
+    counted whole. Columns other than text and source may have any names. An empty table gives an
+    empty table.
     """
     keyed = with_row_key(docs)
     copies = taken_copies(keyed).select(*KEYS, "__rows", "__copies")

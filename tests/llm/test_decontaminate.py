@@ -94,3 +94,28 @@ def test_empty_tables(spark):
     got = decontaminate.clean_documents(cases.table(spark), none)
     assert got.count() == len(cases.rows())
     assert got.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_blocks_are_bounded_and_whole(spark):
+    """Repeats of one item, a third of the rows, and items longer than a block."""
+    items = [(i, cases.prose(3000 + i, 5 + i % 40)) for i in range(200)]
+    items += [(900, cases.prose(1, 400))]
+    rows = items + [items[3]] * 100
+    table = spark.createDataFrame(rows, ITEM_SCHEMA).repartition(7)
+    blocks = list(decontaminate._blocks(table, 150))
+    found = [pair for block in blocks for pair in block]
+    assert sorted(found) == sorted((str(i), t) for i, t in items)
+    for block in blocks:
+        assert len(block) == 1 or sum(len(words(t)) for _, t in block) <= 150
+    assert len(blocks) > 10 and list(decontaminate._blocks(table, 10**6))[1:] == []
+
+
+def test_clashing_columns(spark):
+    bench = spark.createDataFrame(ITEMS, ITEM_SCHEMA)
+    docs = cases.table(spark, leaking_rows())
+    clashing = docs.selectExpr("*", "1 AS items", "2 AS spans", "'x' AS item", "3 AS chars")
+    got = decontaminate.clean_documents(clashing, bench)
+    assert got.columns == clashing.columns
+    assert cases.tuples(got, "doc_id", "text") == cases.tuples(
+        decontaminate.clean_documents(docs, bench), "doc_id", "text"
+    )

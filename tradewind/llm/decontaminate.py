@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -101,24 +102,43 @@ def _scanner(built):
 
 
 def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[str, str]]]:
-    """Items in blocks of bounded size, read from the stored table block by block.
+    """Different items in blocks of bounded size, read from the stored table block by block.
 
-    Characters are counted first; a block, whose automaton is broadcast, holds at most ``block_words`` words
-    plus one item, whatever the benchmark's size.
+    Repeated rows count once. Items are dealt to buckets by hash, finer until no bucket of several
+    items is over the bound; sizes are measured before a block is collected. So a block, whose automaton is
+    broadcast, holds at most ``block_words`` words, or one item.
     """
     sized = stored(
         benchmark.select(
             F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
             F.coalesce("text", F.lit("")).alias("text"),
-        ).withColumn("chars", F.length("text")),
+        )
+        .distinct()
+        .withColumn("chars", F.length("text") + 2),
         "benchmark",
     )
-    total = sized.agg(F.sum("chars")).first()[0] or 0
     # A word and its separator take two characters at least.
-    cuts = max(1, -(-total // (2 * block_words)))
-    for i in range(cuts):
-        part = sized.filter(F.pmod(F.xxhash64("item", "text"), F.lit(cuts)) == i)
-        yield [tuple(row) for row in part.select("item", "text").collect()]
+    bound = 2 * block_words
+    total = sized.agg(F.sum("chars")).first()[0] or 0
+    cuts, sizes = max(1, -(-total // bound)), []
+    while True:
+        bucket = F.pmod(F.xxhash64("item", "text"), F.lit(cuts)).alias("bucket")
+        rows = sized.groupBy(bucket).agg(F.sum("chars").alias("chars"), F.count("*").alias("n"))
+        sizes = sorted(tuple(r) for r in rows.collect())
+        if all(chars <= bound or n == 1 for _, chars, n in sizes):
+            break
+        cuts *= 2
+    if not sizes:
+        yield []
+    block: list[int] = []
+    held = 0
+    for at, chars, _ in [*sizes, (None, math.inf, 0)]:
+        if block and held + chars > bound:
+            part = sized.select("item", "text", bucket).filter(F.col("bucket").isin(block))
+            yield [tuple(row) for row in part.select("item", "text").collect()]
+            block, held = [], 0
+        block.append(at)
+        held += chars
 
 
 def scanned(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -130,7 +150,8 @@ def scanned(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORD
 
     A null or empty text, of a document or an item, has no words and no hits. An item without
     id is named by the empty string. Items that share an id count as one. Repeated rows stay.
-    Very long texts are scanned whole. Benchmarks over ``block_words`` words take one pass per
+    Very long texts are scanned whole. Columns other than the three that are added may have any
+    names but ``__found``, other than text any use. Benchmarks over ``block_words`` words take one pass per
     block, each writing the table before the next; smaller ones add nothing but a projection.
     """
     out = docs

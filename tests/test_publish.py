@@ -3,10 +3,14 @@
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
+from conftest import rows_of
+from pyspark.sql import functions as F
 from small import SmallSource, make_rows
 
 from tradewind import job
 from tradewind.job import Config, run
+from tradewind.plans.star import clustered_by_month
+from tradewind.schemas import WAREHOUSE_COLUMNS
 from tradewind.session import child_files, put_if_absent, read_text
 from tradewind.sinks import publish as publishing
 from tradewind.sinks.publish import (
@@ -15,6 +19,7 @@ from tradewind.sinks.publish import (
     expire_runs,
     last_commit,
     mark_published,
+    published_fact,
     published_run,
     read_published,
 )
@@ -98,3 +103,48 @@ def test_overlapping_refreshes(spark, tmp_path, monkeypatch):
     statuses = {r["run_id"]: r["status"] for r in spark.read.parquet(f"{target}/_reports").collect()}
     assert statuses == {inner[0].run_id: "succeeded", outer.run_id: "failed"}
     assert expire_runs(spark, target, 0) == [outer.run_id]
+
+
+def plan_of(df):
+    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
+def test_fact_by_month(spark, tmp_path):
+    """The same table in monthly folders; a filter on dim_date decides which are read."""
+    target = str(tmp_path)
+    spread = F.expr("replace(order_purchase_timestamp, '2020-01-0', '2020-03-0')")
+
+    class Spread(SmallSource):
+        def table(self, name):
+            frame = super().table(name)
+            return frame.withColumn("order_purchase_timestamp", spread) if name == "raw_orders" else frame
+
+    source = Spread(spark, make_rows(1, False))
+    assert run(spark, source, Config(f"{target}/a")).succeeded
+    assert run(spark, source, Config(f"{target}/b", fact_by_month=True)).succeeded
+    plain, monthly = (read_published(spark, f"{target}/{x}") for x in "ab")
+    for name in plain:
+        assert rows_of(plain[name]) == rows_of(monthly[name]), name
+    folders = {f.split("order_month=")[1].split("/")[0] for f in monthly["fact_order_items"].inputFiles()}
+    assert folders == {"202001", "202003", "__HIVE_DEFAULT_PARTITION__"}
+    days = monthly["dim_date"].filter("month = 3 AND day_of_week < 5")
+    found = published_fact(spark, f"{target}/b", days)
+    assert "dynamicpruningexpression(order_month" in plan_of(found)
+    want = plain["fact_order_items"].filter("month(order_date) = 3 AND weekday(order_date) < 5")
+    columns = WAREHOUSE_COLUMNS["fact_order_items"]
+    assert rows_of(found.select(*columns)) == rows_of(want) and want.count() > 0
+    # A fact that is not in folders gives the same rows.
+    assert rows_of(published_fact(spark, f"{target}/a", days).select(*columns)) == rows_of(want)
+
+
+def test_hot_day_is_several_tasks(spark, conf):
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    fact = spark.range(20_000).selectExpr(
+        "id AS order_id", "CASE WHEN id % 3 > 0 THEN date'2020-05-05' WHEN id % 2 = 0 THEN NULL"
+        " ELSE date_add(date'2020-01-01', CAST(id % 300 AS INT)) END AS order_date",
+    )
+    dealt = clustered_by_month(fact).withColumn("task", F.spark_partition_id())
+    sizes = [r["count"] for r in dealt.groupBy("task").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * 20_000 / 8
+    pairs = dealt.select("task", "order_month").distinct().count()
+    assert pairs <= 8 + dealt.select("order_month").distinct().count()

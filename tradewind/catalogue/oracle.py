@@ -380,6 +380,12 @@ SELECTS: dict[str, str] = {
     "t1_daily_revenue_in_buckets": "SELECT * FROM daily_revenue",
     "t5_fact_order_items": "SELECT * FROM fact_order_items",
     "t5_fact_in_buckets": "SELECT * FROM fact_order_items",
+    "t5_fact_of_weekends": """
+        SELECT order_date, day_name, count(*) AS items,
+          round_even(CAST(sum(CAST(revenue AS DECIMAL(18,4))) AS DOUBLE) * 100, 0) / 100 AS revenue
+        FROM fact_order_items JOIN dim_date ON order_date = date
+        WHERE year = 1995 AND quarter = 2 AND is_weekend
+        GROUP BY order_date, day_name""",
     "t6_dim_customers": "SELECT * FROM dim_customers",
     "t7_dim_products": "SELECT * FROM dim_products",
     "t8_dim_date": "SELECT * FROM dim_date",

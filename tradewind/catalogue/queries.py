@@ -29,7 +29,7 @@ from tradewind.quality import check_keys
 from tradewind.schemas import ORDINAL, RAW_TABLES, WAREHOUSE_COLUMNS, RawTable
 from tradewind.session import configure, fit_shuffles, scratch_dir
 from tradewind.sinks.buckets import lay_out
-from tradewind.sinks.publish import publish, read_published
+from tradewind.sinks.publish import publish, published_fact, read_published, run_zone
 from tradewind.sinks.tables import ParquetSink
 from tradewind.sources.csv import ingest, read_csv
 from tradewind.sources.extract import extract
@@ -578,6 +578,23 @@ def t1_daily_revenue_in_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return builders(_laid_out(spark, sf_dir))["daily_revenue"]()
 
 
+@query
+def t5_fact_of_weekends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue on weekend days of one quarter, from a published fact in monthly folders."""
+    target = scratch_dir(spark, "by-month")
+    tables = _warehouse(spark, sf_dir)
+    wanted = {name: tables[name] for name in ("fact_order_items", "dim_date")}
+    publish(spark, wanted, target, "run", fact_by_month=True)
+    dates = run_zone(spark, target, "run").table("dim_date")
+    days = dates.filter("year = 1995 AND quarter = 2 AND is_weekend")
+    money = F.sum(F.col("revenue").cast("decimal(18,4)")).cast("double")
+    return (
+        published_fact(spark, target, days)
+        .groupBy("order_date", "day_name")
+        .agg(F.count(F.lit(1)).alias("items"), round_half_even(money, 2).alias("revenue"))
+    )
+
+
 @query
 def t5_fact_in_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return builders(_laid_out(spark, sf_dir))["fact_order_items"]()

@@ -52,7 +52,8 @@ class Config:
     database is read once, as of one moment where it can, instead of once per output table.
     ``threads`` bounds the tables
     written at the same time. With ``check_warehouse`` the grain of the fact and its orphan
-    keys are counted in the stored tables. ``on_bad_cells`` says what an amount does that is no
+    keys are counted in the stored tables. ``fact_by_month`` stores the fact in monthly folders.
+    ``on_bad_cells`` says what an amount does that is no
     decimal of four digits: "fail" the run, or become null and be "count"-ed in the report.
     """
 
@@ -61,6 +62,7 @@ class Config:
     threads: int = 4
     check_warehouse: bool = True
     on_bad_cells: str = "fail"
+    fact_by_month: bool = False
 
 
 @dataclass
@@ -142,7 +144,7 @@ def build(
     threads = max(1, config.threads // 3)
 
     def write(**tables: Callable[[], DataFrame]) -> dict[str, int]:
-        return write_tables(zone, tables, threads)
+        return write_tables(zone, tables, threads, config.fact_by_month)
 
     def lines() -> DataFrame:
         return _stage(staging, star.item_lines(items, orders, products), "lines")
@@ -279,6 +281,9 @@ def arguments() -> argparse.ArgumentParser:
     )
     parser.add_argument("--jdbc-url", help="database of the raw tables")
     parser.add_argument("--target", required=True, help="warehouse folder")
+    parser.add_argument(
+        "--fact-by-month", action="store_true", help="store the fact in monthly folders"
+    )
     parser.add_argument("--target-jdbc-url", help="database to copy the published tables to")
     parser.add_argument("--keep-runs", type=int, help="remove all older runs but the published")
     parser.add_argument(
@@ -304,7 +309,10 @@ def main(argv: list[str] | None = None) -> int:
             spark, args.csv, args.raw, manifest=_manifest(args), on_bad_cells=args.on_bad_cells
         )
     config = Config(
-        args.target, land_inputs=bool(args.jdbc_url), on_bad_cells=args.on_bad_cells
+        args.target,
+        land_inputs=bool(args.jdbc_url),
+        on_bad_cells=args.on_bad_cells,
+        fact_by_month=args.fact_by_month,
     )
     source = _source(spark, args)
     if args.lay_out:

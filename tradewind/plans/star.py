@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.operators.aggregates import keep_first, row_order, timestamp_bounds
@@ -12,6 +12,8 @@ from tradewind.operators.joins import lookup_join
 from tradewind.schemas import ORDINAL, WAREHOUSE_COLUMNS
 
 FACT_MONEY = ("price", "freight_value", "revenue")
+# The folder column of a fact stored by month.
+MONTH = "order_month"
 
 
 def item_lines(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
@@ -35,6 +37,33 @@ def fact_order_items(items: DataFrame, orders: DataFrame, products: DataFrame) -
     return delivered_money(item_lines(items, orders, products))
 
 
+def month_number(date: Column) -> Column:
+    """A date's year and month as one number, such as 201711."""
+    return (F.year(date) * 100 + F.month(date)).cast("int")
+
+
+def clustered_by_month(fact: DataFrame) -> DataFrame:
+    """The fact with its month, dealt out and sorted by it, for a table in monthly folders.
+
+    Ranges of day and order are of equal size whatever a month or day holds, so a hot day is
+    several tasks and every task writes few files. Items without a delivered order have no
+    month and a folder of their own.
+    """
+    order = (MONTH, "order_date", "order_id")
+    months = fact.withColumn(MONTH, month_number(F.col("order_date")))
+    return months.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def fact_on_days(fact: DataFrame, days: DataFrame) -> DataFrame:
+    """Fact rows of the given days, with the other columns of these rows of ``dim_date``.
+
+    ``fact`` is in monthly folders. Days are joined by month as well: once they are known at run
+    time, folders of other months are not read.
+    """
+    keyed_days = days.withColumn(MONTH, month_number(F.col("date")))
+    return fact.join(keyed_days.withColumnRenamed("date", "order_date"), [MONTH, "order_date"])
+
+
 def dim_customers(customers: DataFrame) -> DataFrame:
     """First customer record per unique customer."""
     ordered = [c for c in customers.columns if c == ORDINAL]

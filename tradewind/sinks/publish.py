@@ -14,8 +14,10 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tradewind.operators.ordering import in_report_order
+from tradewind.plans.star import MONTH, clustered_by_month, fact_on_days, month_number
 from tradewind.schemas import WAREHOUSE_COLUMNS
 from tradewind.session import (
     child_files,
@@ -35,18 +37,29 @@ def run_zone(spark: SparkSession, target: str, run_id: str) -> ParquetZone:
 
 
 def write_tables(
-    zone: ParquetZone, tables: Mapping[str, Callable[[], DataFrame]], threads: int = 4
+    zone: ParquetZone,
+    tables: Mapping[str, Callable[[], DataFrame]],
+    threads: int = 4,
+    fact_by_month: bool = False,
 ) -> dict[str, int]:
-    """Build and write warehouse tables in report order; row counts by table."""
+    """Build and write warehouse tables in report order; row counts by table.
+
+    With ``fact_by_month`` the fact is stored in monthly folders, see :func:`published_fact`.
+    """
     sink = ParquetSink(zone)
 
     def job(name: str, build: Callable[[], DataFrame]) -> Callable[[], int]:
+        if name == FACT and fact_by_month:
+            return lambda: sink.write(clustered_by_month(build()), name, MONTH)
         return lambda: sink.write(in_report_order(name, build()), name)
 
     counts = in_parallel(zone.spark, [job(*table) for table in tables.items()], threads)
     return dict(zip(tables, counts))
 
 
+FACT = "fact_order_items"
+
+
 class SupersededError(RuntimeError):
     """A run that began later has been published."""
 
@@ -102,7 +115,12 @@ def published_run(spark: SparkSession, target: str) -> str | None:
 
 
 def publish(
-    spark: SparkSession, tables: dict[str, DataFrame], target: str, run_id: str, threads: int = 4
+    spark: SparkSession,
+    tables: dict[str, DataFrame],
+    target: str,
+    run_id: str,
+    threads: int = 4,
+    fact_by_month: bool = False,
 ) -> dict[str, int]:
     """Write all tables of a run, then make it visible; row counts by table.
 
@@ -110,7 +128,7 @@ def publish(
     """
     begun = begin_run(spark, target, run_id)
     builders = {name: (lambda df=df: df) for name, df in tables.items()}
-    counts = write_tables(run_zone(spark, target, run_id), builders, threads)
+    counts = write_tables(run_zone(spark, target, run_id), builders, threads, fact_by_month)
     mark_published(spark, target, run_id, begun)
     return counts
 
@@ -121,7 +139,22 @@ def read_published(spark: SparkSession, target: str) -> dict[str, DataFrame]:
     if run_id is None:
         raise LookupError(f"nothing published under {target}")
     zone = run_zone(spark, target, run_id)
-    return {name: zone.table(name) for name in WAREHOUSE_COLUMNS}
+    # A fact in monthly folders has its month besides.
+    return {name: zone.table(name).select(*cols) for name, cols in WAREHOUSE_COLUMNS.items()}
+
+
+def published_fact(spark: SparkSession, target: str, days: DataFrame) -> DataFrame:
+    """Published fact rows of the given days (rows of the published ``dim_date``).
+
+    Where the fact is stored by month, folders of other months are not read.
+    """
+    run_id = published_run(spark, target)
+    if run_id is None:
+        raise LookupError(f"nothing published under {target}")
+    fact = run_zone(spark, target, run_id).table(FACT)
+    if MONTH not in fact.columns:
+        fact = fact.withColumn(MONTH, month_number(F.col("order_date")))
+    return fact_on_days(fact, days)
 
 
 def register_views(spark: SparkSession, target: str) -> None:

@@ -32,9 +32,13 @@ class ParquetSink:
 
     zone: ParquetZone
 
-    def write(self, df: DataFrame, name: str) -> int:
+    def write(self, df: DataFrame, name: str, folders: str | None = None) -> int:
+        """Write a table, in one folder per value of the column ``folders`` if given."""
         df, observation = counted(df)
-        df.write.mode("overwrite").parquet(self.zone.path(name))
+        writer = df.write.mode("overwrite")
+        if folders:
+            writer = writer.partitionBy(folders)
+        writer.parquet(self.zone.path(name))
         return rows_of(observation)
 
 

@@ -380,6 +380,8 @@ SELECTS: dict[str, str] = {
     "t1_daily_revenue_in_buckets": "SELECT * FROM daily_revenue",
     "t5_fact_order_items": "SELECT * FROM fact_order_items",
     "t5_fact_in_buckets": "SELECT * FROM fact_order_items",
+    "x1_daily_revenue": "SELECT * FROM daily_revenue",
+    "x1_customer_summary": "SELECT * FROM customer_summary",
     "t5_fact_of_weekends": """
         SELECT order_date, day_name, count(*) AS items,
           round_even(CAST(sum(CAST(revenue AS DECIMAL(18,4))) AS DOUBLE) * 100, 0) / 100 AS revenue

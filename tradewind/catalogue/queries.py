@@ -26,6 +26,7 @@ from tradewind.plans import marts, star
 from tradewind.plans.master import master
 from tradewind.plans.warehouse import builders, transform
 from tradewind.quality import check_keys
+from tradewind.refresh import INCREMENTS, OrderStates, order_marts
 from tradewind.schemas import ORDINAL, RAW_TABLES, WAREHOUSE_COLUMNS, RawTable
 from tradewind.session import configure, fit_shuffles, scratch_dir
 from tradewind.sinks.buckets import lay_out
@@ -578,6 +579,42 @@ def t1_daily_revenue_in_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return builders(_laid_out(spark, sf_dir))["daily_revenue"]()
 
 
+def _refreshed_by_loads(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Marts from order states of three loads: late items and payments, and orders that come
+    again with their last status."""
+    loads = LoadZone(spark, scratch_dir(spark, "loads"))
+    raw = {name: _raw(spark, sf_dir, name) for name in INCREMENTS}
+    early = F.when(F.col("order_id") % 3 == 0, "shipped").otherwise(F.col("order_status"))
+    deal = {
+        "raw_orders": (F.col("order_id") % 4 == 0).cast("int"),
+        "raw_order_items": F.pmod(F.col("order_id") + F.col("order_item_id"), F.lit(3)),
+        "raw_order_payments": F.pmod(F.col("order_id"), F.lit(2)) * 2,
+    }
+    states = OrderStates(spark, scratch_dir(spark, "states"))
+    for at in range(3):
+        tables = {name: df.filter(deal[name] == at) for name, df in raw.items()}
+        if at < 2:
+            tables["raw_orders"] = tables["raw_orders"].withColumn("order_status", early)
+        else:
+            tables["raw_orders"] = raw["raw_orders"].filter("order_id % 3 = 0")
+        load_id = f"2024010{at}T000000-load"
+        for name, df in tables.items():
+            ParquetSink(loads.folder(load_id)).write(df, name)
+        loads.enter(load_id, tables)
+        states.advance(loads)
+    return order_marts(states.totals(), _raw(spark, sf_dir, "raw_customers"))
+
+
+@query
+def x1_daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _refreshed_by_loads(spark, sf_dir)["daily_revenue"]
+
+
+@query
+def x1_customer_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _refreshed_by_loads(spark, sf_dir)["customer_summary"]
+
+
 @query
 def t5_fact_of_weekends(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Revenue on weekend days of one quarter, from a published fact in monthly folders."""

@@ -87,6 +87,13 @@ class LoadZone:
         ).withColumn("loaded_at", F.current_timestamp())
         entry.write.mode("append").parquet(self._log())
 
+    def entered(self) -> dict[str, list[str]]:
+        """Complete loads with the tables of each."""
+        if not self.exists():
+            return {}
+        rows = self.spark.read.parquet(self._log()).select("load_id", "tables").collect()
+        return {row["load_id"]: row["tables"] for row in rows}
+
     def table(self, name: str) -> DataFrame:
         loads = self.spark.read.parquet(self._log()).filter(F.array_contains("tables", name))
         last = loads.orderBy(F.desc("loaded_at"), F.desc("load_id")).first()

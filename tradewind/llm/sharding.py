@@ -210,7 +210,9 @@ def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 
     Rows of equal text share a shard; shards are near equal in bytes as far as the largest
     group of equal texts allows. A null text counts no bytes and goes with the empty ones.
-    Rows equal in all columns take consecutive slots. An empty table gives an empty table.
+    Rows equal in all columns take consecutive slots. An empty table gives an empty table. Very
+    long texts count with all their bytes. Columns named ``shard`` and ``slot`` are replaced; others
+    may have any names.
     """
     keyed = with_row_key(docs)
     counts = assigned(keyed, shards).select(
@@ -224,7 +226,10 @@ def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 
 def shard_table(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """Per row of ``docs``: doc_id, size, text_crc32, shard and slot."""
+    """Per row of ``docs``: doc_id, size, text_crc32, shard and slot, as :func:`sharded` has them.
+
+    Other columns do not matter, so none clashes.
+    """
     return assigned(with_row_key(docs), shards).select(
         "doc_id",
         "size",

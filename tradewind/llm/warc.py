@@ -315,7 +315,8 @@ def page_number(record_id: str):
 def round_trip(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
     """Pages written as archives into the cluster's shared folder and read back.
 
-    An empty table gives an empty table.
+    An empty table gives an empty table. A null or empty html is an empty payload; very long ones are
+    written whole. Columns other than page_id, url and html do not matter, so none clashes.
     """
     spark = pages.sparkSession
     folder = f"{scratch_dir(spark, 'warc')}/archive"

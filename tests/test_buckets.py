@@ -7,10 +7,12 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 from small import SCHEMAS, make_rows
 
+from tradewind.catalogue.queries import queries
 from tradewind.operators.clean import clean_orders
 from tradewind.plans import rollups, star
 from tradewind.plans.master import master
 from tradewind.plans.warehouse import UniqueKeys, transform
+from tradewind.sinks import buckets as bucket_sink
 from tradewind.sinks.buckets import ORDER_TABLES, buckets_for, hottest_share, lay_out
 from tradewind.sources.extract import extract
 from tradewind.sources.tables import CatalogZone
@@ -39,6 +41,10 @@ def plan_text(df):
     return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
 
 
+def formatted(df):
+    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
 def exchanged(df):
     text = plan_text(df)
     found = re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", text)
@@ -115,3 +121,36 @@ def test_number_of_buckets(spark, tmp_path):
     assert buckets_for(spark.range(2**33), spark.range(5)) == 512
     assert buckets_for(spark.range(2**33 + 10**9)) == 1024
     assert hottest_share(spark.range(0).withColumn("k", F.lit(1)), "k") == 0
+
+
+def put_given(spark, folder, orders):
+    """The given tables with four equal lines to an order, which compress to next to nothing."""
+    ids = spark.range(orders)
+    tables = {
+        "orders": ids.selectExpr("id as o_orderkey", "id % 7 as o_custkey", "'F' as o_orderstatus",
+                                 "timestamp_ntz'1995-03-01 00:00:00' as o_orderdate"),
+        "customer": spark.range(7).selectExpr("id as c_custkey", "0 as c_nationkey",
+                                              "'x' as c_mktsegment"),
+        "nation": spark.range(1).selectExpr("0 as n_nationkey", "'N' as n_name"),
+        "part": spark.range(5).selectExpr("id as p_partkey", "'LARGE x y' as p_type"),
+        "supplier": spark.range(3).selectExpr("id as s_suppkey", "'s' as s_name",
+                                              "0 as s_nationkey"),
+        "lineitem": ids.selectExpr("id as l_orderkey", "explode(array(1, 2, 3, 4)) as l_linenumber")
+        .selectExpr("l_orderkey", "l_orderkey % 5 as l_partkey", "0L as l_suppkey", "l_linenumber",
+                    "10D as l_extendedprice", "0.1D as l_tax", "'A' as l_returnflag"),
+    }
+    for name, df in tables.items():
+        df.write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", ["c3_master"])
+def test_buckets_of_queries_grow_with_rows(spark, tmp_path, no_broadcast, monkeypatch, name):
+    """A bucket holds no more rows of a table four times as large."""
+    in_buckets = name.replace("_order_items", "") + "_in_buckets"
+    monkeypatch.setattr(bucket_sink, "TARGET_PARTITION_BYTES", 64 * 1024)
+    for orders, expected in ((1000, {"8"}), (4000, {"32"})):
+        folder = put_given(spark, tmp_path / str(orders), orders)
+        df = queries()[in_buckets](spark, folder)
+        assert set(re.findall(r"SelectedBucketsCount: \d+ out of (\d+)", formatted(df))) == expected
+        assert rows_of(df) == rows_of(queries()[name](spark, folder))

@@ -92,11 +92,11 @@ def _mart(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _laid_out(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The inputs from catalog tables in buckets of order_id."""
+    """The inputs from catalog tables in buckets of order_id, four or as many as the sizes need."""
     folder = scratch_dir(spark, "buckets")
     database = "tw_" + folder.rpartition("-")[2]
     spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}/db'")
-    lay_out(spark, {name: _raw(spark, sf_dir, name) for name in RAW_TABLES}, database, buckets=4)
+    lay_out(spark, {name: _raw(spark, sf_dir, name) for name in RAW_TABLES}, database, least=4)
     return extract(CatalogZone(spark, database))
 
 

@@ -27,22 +27,37 @@ ORDER_TABLES = ("raw_orders", "raw_order_items", "raw_order_payments")
 HOT_FACTOR = 4
 
 
-def buckets_for(*tables: DataFrame) -> int:
-    """Buckets that keep those of the largest table near 128 MB, as a power of two.
+def buckets_of(size: int) -> int:
+    """Buckets of at most 128 MB that ``size`` bytes need, as a power of two.
 
     Powers of two divide each other, so tables laid out at different times can still meet: Spark
     reads the buckets that fall together as one.
     """
-    largest = max(filter(None, map(estimated_bytes, tables)), default=0)
-    needed = max(1, -(-largest // TARGET_PARTITION_BYTES))
+    needed = max(1, -(-size // TARGET_PARTITION_BYTES))
     return 1 << (needed - 1).bit_length()
 
 
-def hottest_share(df: DataFrame, key: str) -> float:
-    """Share of all rows that the commonest key holds, null included; one map-side combined pass."""
+def buckets_for(*tables: DataFrame) -> int:
+    """Buckets that keep those of the largest table near 128 MB by Catalyst's estimate."""
+    return buckets_of(max(filter(None, map(estimated_bytes, tables)), default=0))
+
+
+def row_bytes(df: DataFrame) -> int:
+    """Bytes of a row that a task sorts, by Catalyst's reckoning of its types."""
+    return 8 + df._jdf.schema().defaultSize()
+
+
+def key_load(df: DataFrame, key: str) -> tuple[int, int]:
+    """Rows of the commonest key, null included, and all rows; one map-side combined pass."""
     per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
     row = per_key.agg(F.max("rows").alias("most"), F.sum("rows").alias("all")).first()
-    return row["most"] / row["all"] if row["all"] else 0.0
+    return row["most"] or 0, row["all"] or 0
+
+
+def hottest_share(df: DataFrame, key: str) -> float:
+    """Share of all rows that the commonest key holds, null included."""
+    most, rows = key_load(df, key)
+    return most / rows if rows else 0.0
 
 
 @dataclass(frozen=True)
@@ -74,22 +89,29 @@ def lay_out(
     key: str = "order_id",
     by_key: tuple[str, ...] = ORDER_TABLES,
     buckets: int | None = None,
+    least: int = 1,
     threads: int = 4,
 ) -> dict[str, int]:
     """Store raw tables in a catalog database, those named in ``by_key`` in buckets of ``key``.
 
     Row counts by table. With a hot key in one of them all are stored plainly, with a warning:
     shuffled joins divide a hot key at run time, and a table in buckets would keep its partner's rows
-    together. ``buckets`` sets another number than the sizes call for.
+    together.
+
+    The number of buckets grows with the largest of these tables, by its files or its counted rows,
+    whichever asks for more: files say little where values compress well, and nothing for JDBC. It
+    is ``least`` or more; ``buckets`` sets another number than the sizes call for.
     """
     present = [name for name in by_key if name in tables]
-    number = buckets or buckets_for(*[tables[name] for name in present])
-    hot = {}
-    if number > 1:
-        shares = in_parallel(
-            spark, [lambda n=n: hottest_share(tables[n], key) for n in present], threads
-        )
-        hot = {n: s for n, s in zip(present, shares, strict=True) if s * number > HOT_FACTOR}
+    loads = {}
+    if buckets != 1:
+        counts = in_parallel(spark, [lambda n=n: key_load(tables[n], key) for n in present], threads)
+        loads = dict(zip(present, counts, strict=True))
+    counted_bytes = [rows * row_bytes(tables[n]) for n, (_, rows) in loads.items()]
+    number = buckets or max(
+        least, buckets_for(*[tables[n] for n in present]), buckets_of(max(counted_bytes, default=0))
+    )
+    hot = [n for n, (most, rows) in loads.items() if most * number > HOT_FACTOR * rows]
     if hot:
         log.warning("hot %s in %s: tables are stored without buckets", key, ", ".join(hot))
     sink = BucketSink(CatalogZone(spark, database), {} if hot else dict.fromkeys(present, key), number)

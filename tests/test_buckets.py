@@ -144,7 +144,7 @@ def put_given(spark, folder, orders):
     return str(folder)
 
 
-@pytest.mark.parametrize("name", ["c3_master", "t1_daily_revenue"])
+@pytest.mark.parametrize("name", ["c3_master", "t1_daily_revenue", "t5_fact_order_items"])
 def test_buckets_of_queries_grow_with_rows(spark, tmp_path, no_broadcast, monkeypatch, name):
     """A bucket holds no more rows of a table four times as large."""
     in_buckets = name.replace("_order_items", "") + "_in_buckets"
